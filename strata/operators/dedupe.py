@@ -36,13 +36,22 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column |
 
 
 def insert_ignore(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
-                  arrival_order: Sequence[Column | str]) -> DataFrame:
+                  arrival_order: Sequence[Column | str], broadcast_max_keys: int | None = 1_000_000) -> DataFrame:
     """Rows of ``incoming`` that an ``INSERT ... ON CONFLICT DO NOTHING`` would
     add to ``target``: the first row per key in arrival order, minus keys
     already present.  Rows with a NULL key are rejected (NOT NULL keys).
-    Returns only the delta, to be appended."""
+    Returns only the delta, to be appended.
+
+    When the batch has at most ``broadcast_max_keys`` keys (bounded count),
+    its keys are broadcast and the target's key column is only scanned and
+    semi-joined map-side: the big table is never shuffled.  Larger batches
+    use a shuffled anti-join."""
+    from strata.operators.merge import has_at_most
     fresh = incoming.filter(_not_null(keys))
     first = keep_latest(fresh, keys, arrival_order)
+    if broadcast_max_keys is not None and has_at_most(first.select(*keys), broadcast_max_keys):
+        present = target.select(*keys).join(F.broadcast(first.select(*keys)), on=list(keys), how="left_semi")
+        return first.join(present, on=list(keys), how="left_anti")
     return first.join(target.select(*keys), on=list(keys), how="left_anti")
 
 

@@ -1,10 +1,17 @@
 """Keyed upsert with per-column conflict rules (``INSERT ... ON CONFLICT DO
 UPDATE`` on a parquet table, which has no MERGE).
 
-``merge_upsert`` is one full outer join on the key: both sides shuffle on the
-key once, no row is ever collected.  The result is the complete next snapshot
-of the table; :class:`strata.sources.catalog.SnapshotTable` writes it as a new
-version so the version being read is never overwritten.
+Two physical strategies, chosen by a bounded size check of the incoming
+batch (the batch is one row per key after keep-latest):
+
+* **small batch** (at most ``broadcast_max_keys`` keys): the batch keys are
+  broadcast; the target is only *scanned* and split map-side into rows the
+  batch touches and rows it does not.  Only the touched rows meet the batch
+  in a (small) full outer join.  The big target is never shuffled.
+* **large batch** (backfills, first loads): one full outer join on the key;
+  both sides shuffle once.
+
+Either way the result is the complete next state of the table.
 """
 
 from __future__ import annotations
@@ -17,6 +24,9 @@ from pyspark.sql import functions as F
 _IN_T = "__in_target"
 _IN_S = "__in_source"
 
+# Largest key count of a batch that is broadcast (about 64 bytes per key).
+BROADCAST_MAX_KEYS = 1_000_000
+
 
 class UpsertRule:
     """Named conflict rules.  A rule maps (old, new) column -> merged column."""
@@ -38,17 +48,14 @@ class UpsertRule:
         }[rule]
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                 rules: Mapping[str, object] | None = None, now: Column | None = None,
-                 updated_col: str | None = "last_updated") -> DataFrame:
-    """Next state of ``target`` after upserting ``source`` (one row per key).
+def has_at_most(df: DataFrame, n: int) -> bool:
+    """Size check: does ``df`` hold at most ``n`` rows?  Stops reading after
+    ``n + 1`` rows."""
+    return df.limit(n + 1).count() <= n
 
-    * keys only in target: row unchanged;
-    * keys only in source: source row inserted, ``updated_col`` = ``now``;
-    * keys in both: each column merged by its rule (default ``replace``),
-      ``updated_col`` = ``now``.
-    """
-    rules = dict(rules or {})
+
+def _merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], rules: Mapping[str, object],
+                stamp: Column, updated_col: str | None) -> DataFrame:
     cols = [c for c in target.columns if c not in keys]
     t = target.select(*keys, *[F.col(c).alias("__t_" + c) for c in cols], F.lit(True).alias(_IN_T))
     s_cols = [c for c in cols if c in source.columns and c != updated_col]
@@ -56,7 +63,6 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     j = t.join(s, on=list(keys), how="full")
     in_t = F.col(_IN_T).isNotNull()
     in_s = F.col(_IN_S).isNotNull()
-    stamp = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
     out = []
     for c in cols:
         old = F.col("__t_" + c)
@@ -70,3 +76,27 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
             merged = old
         out.append(merged.cast(target.schema[c].dataType).alias(c))
     return j.select(*keys, *out)
+
+
+def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                 rules: Mapping[str, object] | None = None, now: Column | None = None,
+                 updated_col: str | None = "last_updated",
+                 broadcast_max_keys: int | None = BROADCAST_MAX_KEYS) -> DataFrame:
+    """Next state of ``target`` after upserting ``source`` (one row per key).
+
+    * keys only in target: row unchanged;
+    * keys only in source: source row inserted, ``updated_col`` = ``now``;
+    * keys in both: each column merged by its rule (default ``replace``),
+      ``updated_col`` = ``now``.
+
+    ``broadcast_max_keys=None`` skips the size check (always full outer).
+    """
+    rules = dict(rules or {})
+    stamp = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
+    if broadcast_max_keys is not None and has_at_most(source.select(*keys), broadcast_max_keys):
+        src_keys = F.broadcast(source.select(*keys))
+        touched = target.join(src_keys, on=list(keys), how="left_semi")
+        untouched = target.join(src_keys, on=list(keys), how="left_anti")
+        merged = _merge_rows(touched, source, keys, rules, stamp, updated_col)
+        return untouched.select(*target.columns).unionByName(merged.select(*target.columns))
+    return _merge_rows(target, source, keys, rules, stamp, updated_col)

@@ -25,16 +25,40 @@ def _pct(part: Column, total: Column) -> Column:
 
 
 def _profile_counts(df: DataFrame, dup_cols: Sequence[str], null_cols: Sequence[str]) -> DataFrame:
-    """One shuffle: group by the duplicate columns (NULLs equal), count rows
-    and NULLs per group, then total everything.  Returns a single row with
-    ``__total``, ``__dups`` and ``__null_<i>`` columns."""
+    """Row count, duplicate count (NULLs equal) and per-column NULL counts
+    as one row: ``__total``, ``__dups``, ``__null<i>``.
+
+    Exact, without shuffling the rows themselves: pass 1 groups a 64-bit
+    hash of the duplicate columns (only the hash and counters cross the
+    network, pre-aggregated map-side); pass 2 compares full rows only for
+    hash values seen more than once (true duplicates or hash collisions).
+    """
     inner = [F.count(F.lit(1)).alias("__n")]
     inner += [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"__nn{i}") for i, c in enumerate(null_cols)]
-    grouped = df.groupBy(*dup_cols).agg(*inner) if dup_cols else df.agg(*inner)
-    outer = [F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("__total"),
-             F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("__dups")]
-    outer += [F.coalesce(F.sum(f"__nn{i}"), F.lit(0)).cast("long").alias(f"__null{i}") for i in range(len(null_cols))]
-    return grouped.agg(*outer)
+    if not dup_cols:
+        grouped = df.agg(*inner)
+        outer = [F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("__total"), F.lit(0).cast("long").alias("__dups")]
+        outer += [F.coalesce(F.sum(f"__nn{i}"), F.lit(0)).cast("long").alias(f"__null{i}")
+                  for i in range(len(null_cols))]
+        return grouped.agg(*outer)
+    # Hash of the duplicate columns; NULL and position are encoded so that
+    # only genuine collisions need the exact pass.
+    tagged = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in dup_cols]
+    hashed = df.withColumn("__h", F.xxhash64(*tagged))
+    per_hash = hashed.groupBy("__h").agg(*inner)
+    totals = per_hash.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("__total"),
+        *[F.coalesce(F.sum(f"__nn{i}"), F.lit(0)).cast("long").alias(f"__null{i}") for i in range(len(null_cols))])
+    candidates = per_hash.filter(F.col("__n") > 1).select("__h")
+    exact = (hashed.join(candidates, on="__h", how="left_semi")
+             .groupBy("__h", *dup_cols).agg(F.count(F.lit(1)).alias("__c"))
+             .agg(F.coalesce(F.sum(F.col("__c") - 1), F.lit(0)).cast("long").alias("__dups")))
+    # Combine two single-row results without a join: union in long form.
+    metrics = ["__total", "__dups"] + [f"__null{i}" for i in range(len(null_cols))]
+    long_t = totals.select(F.lit(None).cast("long").alias("__dups"), *[c for c in metrics if c != "__dups"])
+    long_d = exact.select("__dups", *[F.lit(None).cast("long").alias(c) for c in metrics if c != "__dups"])
+    both = long_t.unionByName(long_d)
+    return both.agg(*[F.coalesce(F.max(c), F.lit(0)).cast("long").alias(c) for c in metrics])
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from strata.schemas import BRONZE, KEYS, SILVER
 from strata.session import work_dir
 from strata.sources import fixtures as fx
 from strata.sources import pages
-from strata.sources.catalog import AppendTable, SnapshotTable
+from strata.sources.catalog import AppendTable, PartitionedTable, SnapshotTable
 
 # Endpoint -> bronze table, and the arrival order that decides
 # which row of a batch is "first" for insert-once tables.
@@ -34,7 +34,28 @@ def bronze_table(spark: SparkSession, root: str, name: str) -> AppendTable:
     return AppendTable(spark, f"{root}/bronze/{name}", BRONZE[name], KEYS[name])
 
 
-def silver_table(spark: SparkSession, root: str, name: str) -> SnapshotTable:
+# Partitioning of the keyed silver tables (derived from key columns only):
+# trades by trade month, the others by a hash bucket of the key.
+SILVER_BUCKETS = 64
+
+
+def _bucket(*cols):
+    return lambda: F.pmod(F.xxhash64(*cols), F.lit(SILVER_BUCKETS)).cast("int")
+
+
+SILVER_PARTS = {
+    "clientaccount": ("client_bucket", _bucket("client_id")),
+    "deposits": ("order_bucket", _bucket("order_id")),
+    "tradeactivities": ("trade_month", lambda: F.date_format("trade_time", "yyyy-MM")),
+}
+
+
+def silver_table(spark: SparkSession, root: str, name: str):
+    """Silver table handle: affiliates as a versioned snapshot (small),
+    the keyed tables partitioned for touched-partition upserts."""
+    if name in SILVER_PARTS:
+        col, expr = SILVER_PARTS[name]
+        return PartitionedTable(spark, f"{root}/silver/{name}", KEYS[name], col, expr, SILVER[name])
     return SnapshotTable(spark, f"{root}/silver/{name}", SILVER[name], KEYS[name])
 
 
@@ -55,23 +76,26 @@ def run_bronze(spark: SparkSession, landing: str, root: str, *, as_of=None, days
 
 def run_silver(spark: SparkSession, root: str, now=None, strict: bool = False) -> None:
     """Affiliates -> clients -> deposits -> trades (parents first, for the
-    foreign keys); first load or upsert depending on what exists."""
+    foreign keys).  First run: full load; later runs: upsert of the batch
+    into the partitions it touches (clients, deposits, trades) or a new
+    snapshot version (affiliates)."""
     bc = bronze_table(spark, root, "bronze_customers").read()
-    t = {n: silver_table(spark, root, n) for n in SILVER_TABLES}
-
-    def target(n):
-        return t[n].read() if t[n].current_version() is not None else None
-
-    t["affiliateaccount"].write(silver.build_affiliates(bc, now, target("affiliateaccount")))
-    t["clientaccount"].write(silver.build_clients(bc, now, target("clientaccount")))
-    clients = t["clientaccount"].read()
-    dep, dep_orphans = silver.build_deposits(bronze_table(spark, root, "bronze_deposits").read(), clients, now,
-                                             target("deposits"), strict)
-    t["deposits"].write(dep)
+    now_col = silver._stamp(now)
+    aff = silver_table(spark, root, "affiliateaccount")
+    if aff.current_version() is None:
+        aff.write(silver.affiliates_source(bc, now))
+    else:
+        aff.upsert(silver.affiliates_source(bc, now), silver.AFFILIATE_RULES, now_col)
+    cl = silver_table(spark, root, "clientaccount")
+    cl.upsert(silver.clients_source(bc, now), silver.CLIENT_RULES, now_col)
+    clients = cl.read()
+    bd = bronze_table(spark, root, "bronze_deposits").read()
+    dep, dep_orphans = silver.enforce_clients(silver.deposits_source(bd, now), clients, strict)
+    silver_table(spark, root, "deposits").upsert(dep, silver.DEPOSIT_RULES, now_col)
     dep_orphans.write.mode("append").parquet(f"{root}/quarantine/deposits_orphans")
-    tr, tr_orphans = silver.build_trades(bronze_table(spark, root, "bronze_trades").read(), clients, now,
-                                         target("tradeactivities"), strict)
-    t["tradeactivities"].write(tr)
+    bt = bronze_table(spark, root, "bronze_trades").read()
+    tr, tr_orphans = silver.enforce_clients(silver.trades_source(bt, now), clients, strict)
+    silver_table(spark, root, "tradeactivities").upsert(tr, silver.TRADE_RULES, now_col)
     tr_orphans.write.mode("append").parquet(f"{root}/quarantine/trades_orphans")
 
 

@@ -56,5 +56,24 @@ def test_layer_jobs_end_to_end_and_rerun(spark, tmp_path):
     assert again["bronze_trades"] == 2 * counts["bronze_trades"]        # no natural key: appended
     assert again["tradeactivities"] == counts["tradeactivities"]
     latest = jobs.silver_table(spark, root, "clientaccount")
-    assert latest.versions() == [1, 2]
     assert latest.read().filter(F.col("last_updated") == F.lit(T("2001-08-02"))).count() == customers
+    aff = jobs.silver_table(spark, root, "affiliateaccount")
+    assert aff.versions() == [1, 2]
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_path):
+    from strata.sources.catalog import PartitionedTable
+    s = "client_id string, trade_time timestamp_ntz, trade_volume double, last_updated timestamp_ntz"
+    t = PartitionedTable(spark, str(tmp_path / "trades"), ["client_id", "trade_time"], "trade_month",
+                         lambda: F.date_format("trade_time", "yyyy-MM"))
+    t.write(spark.createDataFrame([("1", T("2024-01-05"), 1.0, T("2024-02-01")),
+                                   ("1", T("2024-02-05"), 2.0, T("2024-02-01"))], s))
+    jan_files = sorted(p.name for p in (tmp_path / "trades" / "trade_month=2024-01").iterdir())
+    touched = t.upsert(spark.createDataFrame([("1", T("2024-02-05"), 5.0), ("2", T("2024-03-01"), 3.0)],
+                                             "client_id string, trade_time timestamp_ntz, trade_volume double"),
+                       {"trade_volume": "replace"}, F.lit(T("2024-03-02")))
+    assert sorted(touched) == ["2024-02", "2024-03"]
+    assert sorted(p.name for p in (tmp_path / "trades" / "trade_month=2024-01").iterdir()) == jan_files
+    got = {(r.client_id, r.trade_time): (r.trade_volume, r.last_updated) for r in t.read().collect()}
+    assert got == {("1", T("2024-01-05")): (1.0, T("2024-02-01")), ("1", T("2024-02-05")): (5.0, T("2024-03-02")),
+                   ("2", T("2024-03-01")): (3.0, T("2024-03-02"))}
