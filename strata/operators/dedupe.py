@@ -47,8 +47,10 @@ def insert_ignore(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     semi-joined map-side: the big table is never shuffled.  Larger batches
     use a shuffled anti-join."""
     from strata.operators.merge import has_at_most
+    from strata.session import materialize
     fresh = incoming.filter(_not_null(keys))
-    first = keep_latest(fresh, keys, arrival_order)
+    # Used three times below (size check, key probe, delta): compute it once.
+    first = materialize(keep_latest(fresh, keys, arrival_order))
     if broadcast_max_keys is not None and has_at_most(first.select(*keys), broadcast_max_keys):
         present = target.select(*keys).join(F.broadcast(first.select(*keys)), on=list(keys), how="left_semi")
         return first.join(present, on=list(keys), how="left_anti")

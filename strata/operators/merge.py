@@ -91,8 +91,12 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     ``broadcast_max_keys=None`` skips the size check (always full outer).
     """
+    from strata.session import materialize
     rules = dict(rules or {})
     stamp = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
+    # The batch is read by the size check, the key probes and the merge:
+    # compute it once (and cut its lineage).
+    source = materialize(source)
     if broadcast_max_keys is not None and has_at_most(source.select(*keys), broadcast_max_keys):
         src_keys = F.broadcast(source.select(*keys))
         touched = target.join(src_keys, on=list(keys), how="left_semi")

@@ -117,6 +117,14 @@ def dq_report(df: DataFrame, table_name: str, *, check_time: Column | None = Non
     )
 
 
+def latest_sample(df: DataFrame, n: int, order_by: Sequence) -> DataFrame:
+    """The latest ``n`` rows (quality check on a bounded sample, e.g. the
+    1000 most recently updated silver rows).  ``order_by`` should end in a
+    unique column so the sample is deterministic; planned as a top-N
+    (TakeOrderedAndProject), never a global sort."""
+    return df.orderBy(*order_by).limit(n)
+
+
 def validate_records(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Adds ``failed_rules`` (array of rule names whose condition is not TRUE;
     NULL counts as failed) and ``is_valid``."""

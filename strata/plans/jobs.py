@@ -17,7 +17,9 @@ from strata.schemas import BRONZE, KEYS, SILVER
 from strata.session import work_dir
 from strata.sources import fixtures as fx
 from strata.sources import pages
-from strata.sources.catalog import AppendTable, PartitionedTable, SnapshotTable
+from strata.functions.expr import ts_literal
+from strata.operators import quality
+from strata.sources.catalog import AppendTable, PartitionedTable, SnapshotTable, delete_path
 
 # Endpoint -> bronze table, and the arrival order that decides
 # which row of a batch is "first" for insert-once tables.
@@ -26,10 +28,30 @@ ENDPOINT_TABLES = {"customer_list": "bronze_customers", "deposits": "bronze_depo
 ARRIVAL = {"bronze_customers": ["register_time", "source_file"],
            "bronze_deposits": ["deposit_time", "deposit_amount", "client_id", "deposit_coin", "source_file"]}
 SILVER_TABLES = ("affiliateaccount", "clientaccount", "deposits", "tradeactivities")
+SILVER_SAMPLE = 1000     # rows of each silver table checked after a load
 GOLD_VIEWS = ("gold_affiliate_daily_metrics", "gold_affiliate_monthly_metrics",
               "gold_affiliate_performance", "gold_etl_affiliate_dashboard")
 
 
+def log_quality(spark: SparkSession, root: str, df: DataFrame, table_name: str, now=None) -> None:
+    """Append one quality row (null %, duplicate %, verdict, issues) for
+    ``df`` to the quality log table.  Checks warn, they never block."""
+    stamp = ts_literal(now) if now is not None else None
+    quality.dq_report(df, table_name, check_time=stamp).write.mode("append").parquet(
+        f"{root}/quality/etl_data_quality_log")
+
+
+def read_quality_log(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/quality/etl_data_quality_log")
+
+
+def reset_layers(spark: SparkSession, root: str) -> None:
+    """Drop every layer (gold first, then silver, then bronze) and the
+    quarantine; the quality log is kept."""
+    for layer in ("gold", "silver", "bronze", "quarantine"):
+        delete_path(spark, f"{root}/{layer}")
+
+
 def bronze_table(spark: SparkSession, root: str, name: str) -> AppendTable:
     return AppendTable(spark, f"{root}/bronze/{name}", BRONZE[name], KEYS[name])
 
@@ -68,6 +90,8 @@ def run_bronze(spark: SparkSession, landing: str, root: str, *, as_of=None, days
         scan = pages.scan_pages(spark, landing, endpoint, layout=layout, as_of=as_of, days_back=days_back,
                                 load_time=load_time, dt_unit=dt_unit)
         rows = scan.rows.select(*BRONZE[name].fieldNames())
+        # Quality of all incoming rows, before conflict handling.
+        log_quality(spark, root, rows, name, load_time)
         arrival = [F.col(c).asc() for c in ARRIVAL.get(name, [])]
         out[name] = bronze_table(spark, root, name).insert_ignore(rows, arrival)
         scan.quarantine.write.mode("append").parquet(f"{root}/quarantine/{endpoint}")
@@ -97,6 +121,17 @@ def run_silver(spark: SparkSession, root: str, now=None, strict: bool = False) -
     tr, tr_orphans = silver.enforce_clients(silver.trades_source(bt, now), clients, strict)
     silver_table(spark, root, "tradeactivities").upsert(tr, silver.TRADE_RULES, now_col)
     tr_orphans.write.mode("append").parquet(f"{root}/quarantine/trades_orphans")
+    for name in SILVER_TABLES:
+        check_silver(spark, root, name, now)
+
+
+def check_silver(spark: SparkSession, root: str, name: str, now=None, sample: int | None = SILVER_SAMPLE) -> None:
+    """Quality row of a silver table: the ``sample`` most recently updated
+    rows (key as tiebreak), or the whole table with ``sample=None``."""
+    df = silver_table(spark, root, name).read()
+    if sample is not None:
+        df = quality.latest_sample(df, sample, [F.col("last_updated").desc(), *KEYS[name]])
+    log_quality(spark, root, df, name, now)
 
 
 def run_gold(spark: SparkSession, root: str, as_of) -> None:

@@ -410,6 +410,16 @@ def _run_all_layers() -> str:
     return with_(ctes, body)
 
 
+def _dq_sample() -> str:
+    up = UPSERTS["upsert_trades"]
+    ctes_sql = up[len("WITH "):]
+    cols = ["client_id", "trade_time", "trade_volume", "last_updated"]
+    return ("WITH merged AS (WITH " + ctes_sql + "),\n"
+            "smp AS (SELECT * FROM merged ORDER BY last_updated DESC NULLS LAST, client_id ASC NULLS FIRST, "
+            "trade_time ASC NULLS FIRST LIMIT 1000)\n"
+            "SELECT * FROM (" + dq_report("smp", "tradeactivities", cols, cols[:3], NOW2) + ")")
+
+
 def oracle() -> dict[str, str]:
     bt_cols = "affiliate_id, client_id, trade_volume, trade_time"
     q = {
@@ -500,6 +510,7 @@ def oracle() -> dict[str, str]:
         "dq_report": with_([b("dl")], "SELECT * FROM (" + dq_report("dl", "documents_labeled", DL_COLS, DL_COLS, NOW1) + ")"),
         "dq_bronze": with_([b("bd")], "SELECT table_name, total_records, duplicate_percentage, validation_passed, issue_count "
                                       "FROM (" + dq_report("bd", "bronze_deposits", BD_COLS, BD_DUP, NOW1) + ")"),
+        "dq_sample": _dq_sample(),
         "validate_records": VALIDATE_RECORDS,
         "validate_counts": gold_q("SELECT data_source, total_records, success_count, error_count, partial_count, "
                                   "(COALESCE(total_records, 0) >= 0 AND COALESCE(success_count, 0) >= 0 AND "

@@ -48,30 +48,41 @@ def _from(df: DataFrame, col: str, t: str) -> DataFrame:
 
 
 class Layers:
-    """Lazy bronze / silver frames of one fixture directory."""
+    """Lazy bronze / silver frames of one fixture directory.  Each frame is
+    built once per query, so every branch of a plan uses the same subplan
+    and Spark reuses its exchanges instead of recomputing them."""
 
     def __init__(self, spark: SparkSession, sf: str, now=NOW1):
         self.spark, self.sf, self.now = spark, sf, now
+        self._memo: dict[str, DataFrame] = {}
 
-    def bronze_customers(self): return fx.customers(self.spark, self.sf)
-    def bronze_trades(self): return fx.trades(self.spark, self.sf)
-    def bronze_deposits(self): return fx.deposits(self.spark, self.sf)
-    def bronze_assets(self): return fx.assets(self.spark, self.sf)
+    def _get(self, name, build):
+        if name not in self._memo:
+            self._memo[name] = build()
+        return self._memo[name]
 
-    def affiliates(self): return silver.build_affiliates(self.bronze_customers(), self.now)
-    def clients(self): return silver.build_clients(self.bronze_customers(), self.now)
+    def bronze_customers(self): return self._get("bc", lambda: fx.customers(self.spark, self.sf))
+    def bronze_trades(self): return self._get("bt", lambda: fx.trades(self.spark, self.sf))
+    def bronze_deposits(self): return self._get("bd", lambda: fx.deposits(self.spark, self.sf))
+    def bronze_assets(self): return self._get("ba", lambda: fx.assets(self.spark, self.sf))
+
+    def affiliates(self):
+        return self._get("sa", lambda: silver.build_affiliates(self.bronze_customers(), self.now))
+
+    def clients(self):
+        return self._get("sc", lambda: silver.build_clients(self.bronze_customers(), self.now))
 
     def trades(self):
-        return silver.build_trades(self.bronze_trades(), self.clients(), self.now)[0]
+        return self._get("st", lambda: silver.build_trades(self.bronze_trades(), self.clients(), self.now)[0])
 
     def deposits(self):
-        return silver.build_deposits(self.bronze_deposits(), self.clients(), self.now)[0]
+        return self._get("sd", lambda: silver.build_deposits(self.bronze_deposits(), self.clients(), self.now)[0])
 
     def performance(self):
         return gold.gold_performance(self.affiliates(), self.clients(), self.trades(), AS_OF)
 
     def daily(self):
-        return gold.gold_daily(self.clients(), self.trades(), self.affiliates(), AS_OF)
+        return self._get("gd", lambda: gold.gold_daily(self.clients(), self.trades(), self.affiliates(), AS_OF))
 
     def dashboard(self):
         return gold.gold_etl_dashboard(self.bronze_customers(), self.clients(), self.daily(),
@@ -393,6 +404,17 @@ def q_dq_report(spark, sf):
                     F.array_join("issues", " | ").alias("issues_text"))
 
 
+def q_dq_sample(spark, sf):
+    """Quality row of the 1000 most recently updated silver trades after an
+    upsert (key as tiebreak)."""
+    sample = quality.latest_sample(q_upsert_trades(spark, sf), 1000,
+                                   [F.col("last_updated").desc(), "client_id", "trade_time"])
+    r = quality.dq_report(sample, "tradeactivities", check_time=ts_literal(NOW2))
+    return r.select("table_name", "check_timestamp", "total_records",
+                    F.round("duplicate_percentage", 4).alias("duplicate_percentage"), "validation_passed",
+                    F.size("issues").alias("issue_count"), F.array_join("issues", " | ").alias("issues_text"))
+
+
 def q_dq_bronze(spark, sf):
     """Quality row of an incoming bronze batch, before conflict handling."""
     r = quality.dq_report(fx.deposits(spark, sf), "bronze_deposits", check_time=ts_literal(NOW1))
@@ -504,6 +526,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_duplicate_pct": q_dq_duplicate_pct,
         "dq_report": q_dq_report,
         "dq_bronze": q_dq_bronze,
+        "dq_sample": q_dq_sample,
         "validate_records": q_validate_records,
         "validate_counts": q_validate_counts,
         "check_pk": q_check_pk,

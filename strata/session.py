@@ -72,3 +72,11 @@ def work_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         leaf = (leaf + "/" if leaf else "") + uuid.uuid4().hex[:12]
     return root + ("/" + leaf if leaf else "")
+
+
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint folder and cut its
+    lineage (reused several times, and a lost executor does not force a
+    recomputation from the sources).  Never a local checkpoint."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -36,6 +36,12 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath, jvm
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` on its file system (no-op if absent)."""
+    fs, jpath, _ = _fs(spark, path)
+    return bool(fs.exists(jpath) and fs.delete(jpath, True))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, jpath, _ = _fs(spark, path)
     return fs.exists(jpath)

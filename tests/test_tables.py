@@ -77,3 +77,18 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     got = {(r.client_id, r.trade_time): (r.trade_volume, r.last_updated) for r in t.read().collect()}
     assert got == {("1", T("2024-01-05")): (1.0, T("2024-02-01")), ("1", T("2024-02-05")): (5.0, T("2024-03-02")),
                    ("2", T("2024-03-01")): (3.0, T("2024-03-02"))}
+
+
+def test_quality_log_and_reset(spark, tmp_path):
+    from strata.operators import quality  # noqa: F401
+    root = str(tmp_path / "tables")
+    df = spark.createDataFrame([("1", None), ("1", None)], "client_id string, affiliate_id string")
+    jobs.log_quality(spark, root, df, "bronze_customers", T("2024-01-01"))
+    jobs.log_quality(spark, root, df.limit(1), "bronze_customers", T("2024-01-02"))
+    log = jobs.read_quality_log(spark, root).orderBy("check_timestamp").collect()
+    assert [r.validation_passed for r in log] == [False, False]
+    assert log[0].duplicate_percentage == 50.0 and log[0].null_percentages["affiliate_id"] == 100.0
+    spark.range(3).write.parquet(root + "/bronze/bronze_customers")
+    jobs.reset_layers(spark, root)
+    import os
+    assert not os.path.exists(root + "/bronze") and os.path.exists(root + "/quality/etl_data_quality_log")
