@@ -82,16 +82,23 @@ def silver_table(spark: SparkSession, root: str, name: str):
 
 
 def run_bronze(spark: SparkSession, landing: str, root: str, *, as_of=None, days_back: int | None = None,
-               load_time=None, layout: str = "hive", dt_unit: str = "day") -> dict[str, DataFrame]:
+               load_time=None, layout: str = "hive", dt_unit: str = "day",
+               strict: bool = False) -> dict[str, DataFrame]:
     """Scan every endpoint (all affiliates in one scan each), quarantine bad
-    files and insert the rows into the bronze tables."""
+    files and unparseable records (``strict`` raises instead) and insert the
+    rest into the bronze tables."""
     out = {}
     for endpoint, name in ENDPOINT_TABLES.items():
         scan = pages.scan_pages(spark, landing, endpoint, layout=layout, as_of=as_of, days_back=days_back,
                                 load_time=load_time, dt_unit=dt_unit)
-        rows = scan.rows.select(*BRONZE[name].fieldNames())
+        parsed = scan.rows.select(*BRONZE[name].fieldNames())
+        errors = parsed.filter(F.col("load_status") != "SUCCESS")
+        if strict and not errors.isEmpty():
+            raise ValueError(f"{endpoint}: records with missing or unparseable required fields")
+        errors.write.mode("append").parquet(f"{root}/quarantine/{endpoint}_records")
+        rows = parsed.filter(F.col("load_status") == "SUCCESS")
         # Quality of all incoming rows, before conflict handling.
-        log_quality(spark, root, rows, name, load_time)
+        log_quality(spark, root, parsed, name, load_time)
         arrival = [F.col(c).asc() for c in ARRIVAL.get(name, [])]
         out[name] = bronze_table(spark, root, name).insert_ignore(rows, arrival)
         scan.quarantine.write.mode("append").parquet(f"{root}/quarantine/{endpoint}")

@@ -42,6 +42,13 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath) and fs.delete(jpath, True))
 
 
+def glob_matches(spark: SparkSession, pattern: str) -> bool:
+    """Does a path glob match anything (listing only, no file is opened)?"""
+    fs, jpath, _ = _fs(spark, pattern)
+    found = fs.globStatus(jpath)
+    return found is not None and len(found) > 0
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, jpath, _ = _fs(spark, path)
     return fs.exists(jpath)

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from strata.functions.expr import (as_column, date_literal, epoch_ms_to_ts, parse_decimal,
                                    ts_literal, ts_to_epoch_ms)
 from strata.schemas import ENDPOINT_FIELDS, ENVELOPES
+from strata.sources.catalog import glob_matches
 
 # Default page size and the envelope's success code / message.
 PAGE_SIZE = 1000
@@ -81,7 +82,9 @@ def write_landing(df: DataFrame, root: str, endpoint: str, *, request_time=None,
     ``df`` carries ``affiliate_id`` plus the bronze columns of the endpoint.
     Pages hold at most ``page_size`` records: rows are numbered inside their
     input partition (``monotonically_increasing_id``), so a page never spans
-    partitions and no group grows beyond ``page_size``.  Folders are one
+    partitions and no group grows beyond ``page_size``; rows are sorted
+    inside their partition first (no shuffle) so a retried task cuts the same
+    pages.  Folders are one
     per (affiliate, endpoint, day) or, with ``dt_unit`` "month" / "year",
     per month or year (sparse history spread over years would otherwise
     make one tiny file per day).  The write is a REBALANCE on the folder columns: few files
@@ -96,9 +99,12 @@ def write_landing(df: DataFrame, root: str, endpoint: str, *, request_time=None,
     event = F.col(EVENT_TIME[endpoint])
     req = ts_to_epoch_ms(ts_literal(request_time)) if request_time is not None else \
         ts_to_epoch_ms(F.current_timestamp().cast("timestamp_ntz"))
-    pages = (df.select(F.col("affiliate_id").cast("string").alias("affiliate_id"),
-                       folder_start(event, dt_unit).alias("dt"), record.alias("rec"),
-                       F.floor(F.monotonically_increasing_id() / F.lit(page_size)).alias("__page"))
+    # Row ids are taken after a sort inside each partition, so a retried
+    # task numbers its rows - and cuts its pages - exactly as before.
+    base = (df.select(F.col("affiliate_id").cast("string").alias("affiliate_id"),
+                      folder_start(event, dt_unit).alias("dt"), record.alias("rec"))
+            .sortWithinPartitions("affiliate_id", "dt", "rec"))
+    pages = (base.withColumn("__page", F.floor(F.monotonically_increasing_id() / F.lit(page_size)))
              .groupBy("affiliate_id", "dt", "__page")
              .agg(F.collect_list("rec").alias("data"))
              .select(F.lit(OK_CODE).alias("code"), F.lit(OK_MSG).alias("msg"),
@@ -116,16 +122,29 @@ class Scan:
     quarantine: DataFrame
 
 
+def _empty_envelopes(spark: SparkSession, fields) -> DataFrame:
+    schema = T.StructType(list(fields) + [T.StructField("affiliate_id", T.StringType()),
+                                          T.StructField("endpoint", T.StringType()),
+                                          T.StructField("dt", T.DateType()),
+                                          T.StructField("source_file", T.StringType())])
+    return spark.createDataFrame([], schema)
+
+
 def _read_envelopes(spark: SparkSession, root: str, endpoint: str, layout: str) -> DataFrame:
     fields = list(ENVELOPES[endpoint].fields) + [T.StructField(CORRUPT, T.StringType(), True)]
     reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if layout == "hive":
         parts = [T.StructField("affiliate_id", T.StringType()), T.StructField("endpoint", T.StringType()),
                  T.StructField("dt", T.DateType())]
+        if not glob_matches(spark, root):
+            return _empty_envelopes(spark, fields)
         raw = reader.schema(T.StructType(fields + parts)).json(root)
         return (raw.filter(F.col("endpoint") == endpoint)
                 .withColumn("source_file", F.col("_metadata.file_path")))
-    raw = reader.schema(T.StructType(fields)).option("multiLine", True).json(f"{root.rstrip('/')}/affiliate*/{endpoint}/*/*/*/*.json")
+    pattern = f"{root.rstrip('/')}/affiliate*/{endpoint}/*/*/*/*.json"
+    if not glob_matches(spark, pattern):      # endpoint not delivered: nothing to read
+        return _empty_envelopes(spark, fields)
+    raw = reader.schema(T.StructType(fields)).option("multiLine", True).json(pattern)
     path = F.col("_metadata.file_path")
     ymd = F.regexp_extract(path, r"/(\d{4})/(\d{2})/(\d{2})/[^/]*$", 0)
     folder_date = F.to_date(F.regexp_replace(F.substring(ymd, 2, 10), "/", "-"), "yyyy-MM-dd")

@@ -74,6 +74,18 @@ def ingest_pages(spark: SparkSession, landing: str, endpoint: str, target: str,
     _run(rows.writeStream.foreachBatch(sink), checkpoint)
 
 
+def ingest_all_endpoints(spark: SparkSession, landing: str, root: str, load_time=None) -> None:
+    """One incremental query per endpoint (all affiliates at once), each with
+    its own checkpoint, into ``root/bronze/<table>``; keyed tables are
+    insert-ignored per micro-batch."""
+    from strata.plans.jobs import ARRIVAL, ENDPOINT_TABLES
+    from strata.schemas import KEYS
+    for endpoint, name in ENDPOINT_TABLES.items():
+        ingest_pages(spark, landing, endpoint, f"{root}/bronze/{name}", f"{root}/_checkpoints/{name}",
+                     keys=KEYS[name], arrival_order=[F.col(c).asc() for c in ARRIVAL.get(name, [])],
+                     load_time=load_time)
+
+
 def ingest_new_keys(stream: DataFrame, keys: Sequence[str], event_time: str, key_table: str,
                     checkpoint: str) -> None:
     """Append to ``key_table`` the keys not seen before, with the time they

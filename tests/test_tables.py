@@ -92,3 +92,32 @@ def test_quality_log_and_reset(spark, tmp_path):
     jobs.reset_layers(spark, root)
     import os
     assert not os.path.exists(root + "/bronze") and os.path.exists(root + "/quality/etl_data_quality_log")
+
+
+def test_bronze_quarantines_unparseable_records_and_strict_raises(spark, tmp_path):
+    import pytest
+    from test_pages import make_dated_landing
+    landing = tmp_path / "dump"
+    make_dated_landing(landing)
+    root = str(tmp_path / "tables")
+    jobs.run_bronze(spark, str(landing), root, layout="dated", load_time=T("2025-04-10"))
+    ids = sorted(r.client_id for r in jobs.bronze_table(spark, root, "bronze_customers").read().collect())
+    assert ids == ["u1", "u2", "u3", "u4", "u5"]
+    bad = spark.read.parquet(root + "/quarantine/customer_list_records").collect()
+    assert [r.client_id for r in bad] == ["u7"]
+    with pytest.raises(ValueError):
+        jobs.run_bronze(spark, str(landing), str(tmp_path / "strict"), layout="dated", strict=True)
+
+
+def test_streaming_ingest_all_endpoints(spark, tmp_path):
+    from strata.streaming import ingest
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "tables")
+    for endpoint, name in [("customer_list", "customers"), ("deposits", "deposits"),
+                           ("trade_activities", "trades"), ("assets", "assets")]:
+        pages.write_landing(getattr(fx, name)(spark, SF_SMALL, lineage=False), landing, endpoint, dt_unit="year")
+    ingest.ingest_all_endpoints(spark, landing, root, load_time=fx.LOAD_TIME)
+    ingest.ingest_all_endpoints(spark, landing, root, load_time=fx.LOAD_TIME)      # nothing new
+    dep = spark.read.parquet(root + "/bronze/bronze_deposits")
+    assert dep.count() == dep.select("order_id").distinct().count()
+    assert dep.count() == fx.deposits(spark, SF_SMALL).select("order_id").distinct().count()
+    assert spark.read.parquet(root + "/bronze/bronze_trades").count() == fx.table(spark, SF_SMALL, "orders").count()
