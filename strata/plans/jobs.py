@@ -180,6 +180,41 @@ def table_counts(spark: SparkSession, root: str) -> DataFrame:
     return out
 
 
+def _fixture_landing(spark: SparkSession, sf: str, landing: str, endpoints) -> None:
+    names = {"customer_list": "customers", "deposits": "deposits", "trade_activities": "trades",
+             "assets": "assets"}
+    for endpoint in endpoints:
+        pages.write_landing(getattr(fx, names[endpoint])(spark, sf, lineage=False), landing, endpoint,
+                            request_time=fx.LOAD_TIME, dt_unit="year")
+
+
+def q_run_bronze_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze job over landing deposits: the insert-once table (first
+    arrival per order id)."""
+    base = work_dir(spark, "bronze_layer")
+    _fixture_landing(spark, sf, base + "/landing", ["deposits"])
+    run_bronze(spark, base + "/landing", base + "/tables", load_time=fx.LOAD_TIME, dt_unit="year")
+    return bronze_table(spark, base + "/tables", "bronze_deposits").read().select(
+        "order_id", "affiliate_id", "client_id", "deposit_time", "deposit_coin", "deposit_amount", "load_status")
+
+
+def q_run_silver_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze + silver jobs: the partitioned silver trade table."""
+    base = work_dir(spark, "silver_layer")
+    _fixture_landing(spark, sf, base + "/landing", ["customer_list", "trade_activities"])
+    run_bronze(spark, base + "/landing", base + "/tables", load_time=fx.LOAD_TIME, dt_unit="year")
+    run_silver(spark, base + "/tables", fx.LOAD_TIME)
+    return silver_table(spark, base + "/tables", "tradeactivities").read()
+
+
+def q_run_gold_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze + silver + gold jobs: the materialised performance view."""
+    base = work_dir(spark, "gold_layer")
+    _fixture_landing(spark, sf, base + "/landing", ["customer_list", "trade_activities"])
+    run_all(spark, base + "/landing", base + "/tables", fx.AS_OF, now=fx.LOAD_TIME, dt_unit="year")
+    return SnapshotTable(spark, base + "/tables/gold/gold_affiliate_performance").read()
+
+
 def q_run_all_layers(spark: SparkSession, sf: str) -> DataFrame:
     """Fixture rows -> landing pages -> bronze -> silver -> gold; returns
     the row count of every table written."""

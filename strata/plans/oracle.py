@@ -438,6 +438,8 @@ def oracle() -> dict[str, str]:
         "batch_metadata": with_([b("bt")], "SELECT affiliate_id, 'trade_activities' AS endpoint, COUNT(*) AS records_fetched, "
                                            "MIN(trade_time) AS start_time, MAX(trade_time) AS end_time, "
                                            "COUNT(DISTINCT CAST(trade_time AS DATE)) AS days_covered FROM bt GROUP BY affiliate_id"),
+        "validate_envelope": with_([b("bt")], "SELECT affiliate_id, CAST(date_trunc('year', trade_time) AS DATE) AS dt, "
+                                              "TRUE AS code_valid, COUNT(*) AS records FROM bt GROUP BY ALL"),
         "bronze_insert_ignore": _bronze_insert_ignore(),
         "bronze_append": with_([b("bt")], f"SELECT {bt_cols}, 1 AS load_batch FROM bt WHERE trade_time < TIMESTAMP '2000-01-01 00:00:00' "
                                           f"UNION ALL SELECT {bt_cols}, 2 FROM bt WHERE trade_time >= TIMESTAMP '1999-07-01 00:00:00'"),
@@ -511,6 +513,8 @@ def oracle() -> dict[str, str]:
         "dq_bronze": with_([b("bd")], "SELECT table_name, total_records, duplicate_percentage, validation_passed, issue_count "
                                       "FROM (" + dq_report("bd", "bronze_deposits", BD_COLS, BD_DUP, NOW1) + ")"),
         "dq_sample": _dq_sample(),
+        "dq_log": with_([b("bd")], "SELECT table_name, total_records, duplicate_percentage, validation_passed, issue_count "
+                                   "FROM (" + dq_report("bd", "bronze_deposits", BD_COLS, BD_DUP, NOW1) + ")"),
         "validate_records": VALIDATE_RECORDS,
         "validate_counts": gold_q("SELECT data_source, total_records, success_count, error_count, partial_count, "
                                   "(COALESCE(total_records, 0) >= 0 AND COALESCE(success_count, 0) >= 0 AND "
@@ -529,5 +533,12 @@ def oracle() -> dict[str, str]:
         "stream_daily_trades": "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS date, COUNT(*) AS total_trades, "
                                "CAST(SUM(CAST(value AS DECIMAL(18,8))) AS DECIMAL(28,8)) AS total_volume FROM events GROUP BY 1",
         "run_all_layers": _run_all_layers(),
+        "run_bronze_layer": with_([b("bd")], "SELECT order_id, affiliate_id, client_id, deposit_time, deposit_coin, "
+                                             "deposit_amount, load_status FROM (SELECT *, row_number() OVER (PARTITION BY "
+                                             "order_id ORDER BY deposit_time ASC NULLS FIRST, deposit_amount ASC NULLS FIRST, "
+                                             "client_id ASC NULLS FIRST, deposit_coin ASC NULLS FIRST, source_file ASC "
+                                             "NULLS FIRST) AS rn FROM bd) WHERE rn = 1"),
+        "run_silver_layer": with_(SILVER, "SELECT * FROM st"),
+        "run_gold_layer": gold_q("SELECT * FROM gp"),
     }
     return q

@@ -133,6 +133,15 @@ def q_landing_write(spark, sf):
     return pages.landing_summary(spark, root, "deposits").select("affiliate_id", "endpoint", "dt", "records")
 
 
+def q_validate_envelope(spark, sf):
+    """Response-code check over every landing page: records per folder and
+    code validity."""
+    root = _landing(spark, sf, "trade_activities")
+    env = pages.validate_envelope(pages.read_envelopes(spark, root, "trade_activities"))
+    return (env.groupBy("affiliate_id", "dt", "code_valid")
+            .agg(F.sum(F.size("data")).cast("long").alias("records")))
+
+
 def q_batch_metadata(spark, sf):
     root = _landing(spark, sf, "trade_activities")
     rows = pages.scan_pages(spark, root, "trade_activities", load_time=NOW1, dt_unit=DT_UNIT).rows
@@ -415,6 +424,17 @@ def q_dq_sample(spark, sf):
                     F.size("issues").alias("issue_count"), F.array_join("issues", " | ").alias("issues_text"))
 
 
+def q_dq_log(spark, sf):
+    """Quality row of an incoming bronze batch written through the quality
+    log sink and read back."""
+    from strata.plans import jobs
+    root = work_dir(spark, "dq_log")
+    jobs.log_quality(spark, root, fx.deposits(spark, sf), "bronze_deposits", NOW1)
+    log = jobs.read_quality_log(spark, root)
+    return log.select("table_name", "total_records", F.round("duplicate_percentage", 4).alias("duplicate_percentage"),
+                      "validation_passed", F.size("issues").alias("issue_count"))
+
+
 def q_dq_bronze(spark, sf):
     """Quality row of an incoming bronze batch, before conflict handling."""
     r = quality.dq_report(fx.deposits(spark, sf), "bronze_deposits", check_time=ts_literal(NOW1))
@@ -478,6 +498,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "discover_affiliates": q_discover_affiliates,
         "landing_write": q_landing_write,
         "batch_metadata": q_batch_metadata,
+        "validate_envelope": q_validate_envelope,
         "bronze_insert_ignore": q_bronze_insert_ignore,
         "bronze_append": q_bronze_append,
         "epoch_ms_to_ts": q_epoch_ms_to_ts,
@@ -527,6 +548,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_report": q_dq_report,
         "dq_bronze": q_dq_bronze,
         "dq_sample": q_dq_sample,
+        "dq_log": q_dq_log,
         "validate_records": q_validate_records,
         "validate_counts": q_validate_counts,
         "check_pk": q_check_pk,
@@ -536,4 +558,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_trades_dedup": st.q_stream_trades_dedup,
         "stream_daily_trades": st.q_stream_daily_trades,
         "run_all_layers": jobs.q_run_all_layers,
+        "run_bronze_layer": jobs.q_run_bronze_layer,
+        "run_silver_layer": jobs.q_run_silver_layer,
+        "run_gold_layer": jobs.q_run_gold_layer,
     }

@@ -49,6 +49,14 @@ def glob_matches(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Does a table folder hold data (any entry not starting with _ or .)?"""
+    fs, jpath, _ = _fs(spark, path)
+    if not fs.exists(jpath):
+        return False
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(jpath))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, jpath, _ = _fs(spark, path)
     return fs.exists(jpath)
@@ -81,9 +89,9 @@ class SnapshotTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         version = self.current_version() if version is None else version
-        if version is None:
+        if version is None or not has_data(self.spark, self.path(version)):
             if self.schema is None:
-                raise FileNotFoundError(f"no committed version under {self.root}")
+                raise FileNotFoundError(f"no data under {self.root}")
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.parquet(self.path(version))
 
@@ -112,7 +120,7 @@ class AppendTable:
         self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, list(keys)
 
     def read(self) -> DataFrame:
-        if path_exists(self.spark, self.root + "/_SUCCESS") or self._has_files():
+        if self._has_files():
             return self.spark.read.parquet(self.root)
         if self.schema is None:
             raise FileNotFoundError(self.root)
@@ -165,7 +173,7 @@ class PartitionedTable:
         return path_exists(self.spark, self.root + "/_SUCCESS")
 
     def read(self) -> DataFrame:
-        if not self.exists():
+        if not has_data(self.spark, self.root):
             if self.schema is None:
                 raise FileNotFoundError(self.root)
             return self.spark.createDataFrame([], self.schema)
@@ -186,7 +194,7 @@ class PartitionedTable:
         from pyspark.sql import functions as F
 
         from strata.operators.merge import has_at_most
-        if not self.exists():
+        if not self.exists() or not has_data(self.spark, self.root):
             self.write(merge_upsert(self.read(), source, self.keys, rules, now, updated_col))
             return []
         touched = self._with_part(source.select(*self.keys)).select(self.part_col).distinct()

@@ -153,6 +153,11 @@ def _read_envelopes(spark: SparkSession, root: str, endpoint: str, layout: str)
             .withColumn("dt", folder_date))
 
 
+def read_envelopes(spark: SparkSession, root: str, endpoint: str, layout: str = "hive") -> DataFrame:
+    """Raw page envelopes of one endpoint with affiliate_id, dt, source_file."""
+    return _read_envelopes(spark, root, endpoint, layout)
+
+
 def envelopes_to_rows(env: DataFrame, endpoint: str, load_time=None) -> DataFrame:
     """Explode valid envelopes into bronze rows (works on batch and
     streaming frames).  ``env`` needs affiliate_id, source_file, code, data."""
