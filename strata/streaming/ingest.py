@@ -92,10 +92,12 @@ def ingest_new_keys(stream: DataFrame, keys: Sequence[str], event_time: str, key
     were first seen (earliest event of the key in its first micro-batch)."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        from strata.operators.dedupe import insert_ignore
         spark = batch.sparkSession
         firsts = batch.groupBy(*keys).agg(F.min(event_time).alias("first_seen"))
         seen = spark.read.parquet(key_table).select(*keys)
-        new = firsts.join(seen, on=list(keys), how="left_anti")
+        # Small batches probe the (large) key table with broadcast batch keys.
+        new = insert_ignore(seen, firsts, keys, [F.col("first_seen").asc()])
         new.write.mode("append").parquet(key_table)
 
     _run(stream.writeStream.foreachBatch(sink), checkpoint)
