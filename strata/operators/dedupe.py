@@ -53,7 +53,8 @@ def insert_ignore(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     first = materialize(keep_latest(fresh, keys, arrival_order))
     if broadcast_max_keys is not None and has_at_most(first.select(*keys), broadcast_max_keys):
         present = target.select(*keys).join(F.broadcast(first.select(*keys)), on=list(keys), how="left_semi")
-        return first.join(present, on=list(keys), how="left_anti")
+        # ``present`` is a subset of the batch keys: bounded by the check above.
+        return first.join(F.broadcast(present), on=list(keys), how="left_anti")
     return first.join(target.select(*keys), on=list(keys), how="left_anti")
 
 

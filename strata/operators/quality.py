@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 MAX_NULL_PERCENTAGE = 0.1
 MAX_DUPLICATE_PERCENTAGE = 0.05
 LINEAGE_COLUMNS = ("source_file", "load_time", "load_status", "last_updated")
+# Largest number of duplicate-candidate row hashes that is broadcast (8 bytes each).
+MAX_BROADCAST_HASHES = 5_000_000
 
 
 def _pct(part: Column, total: Column) -> Column:
@@ -31,7 +33,9 @@ def _profile_counts(df: DataFrame, dup_cols: Sequence[str], null_cols: Sequence[
     Exact, without shuffling the rows themselves: pass 1 groups a 64-bit
     hash of the duplicate columns (only the hash and counters cross the
     network, pre-aggregated map-side); pass 2 compares full rows only for
-    hash values seen more than once (true duplicates or hash collisions).
+    hash values seen more than once (true duplicates or hash collisions),
+    found through a broadcast of those hashes when their count is within
+    ``MAX_BROADCAST_HASHES`` (checked), else over all rows.
     """
     inner = [F.count(F.lit(1)).alias("__n")]
     inner += [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"__nn{i}") for i, c in enumerate(null_cols)]
@@ -50,8 +54,16 @@ def _profile_counts(df: DataFrame, dup_cols: Sequence[str], null_cols: Sequence[
         F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("__total"),
         *[F.coalesce(F.sum(f"__nn{i}"), F.lit(0)).cast("long").alias(f"__null{i}") for i in range(len(null_cols))])
     candidates = per_hash.filter(F.col("__n") > 1).select("__h")
-    exact = (hashed.join(candidates, on="__h", how="left_semi")
-             .groupBy("__h", *dup_cols).agg(F.count(F.lit(1)).alias("__c"))
+    from strata.operators.merge import has_at_most
+    if has_at_most(candidates, MAX_BROADCAST_HASHES):
+        # Few duplicate candidates: broadcast their hashes, so only candidate
+        # rows are shuffled for the exact comparison.
+        pool = hashed.join(F.broadcast(candidates), on="__h", how="left_semi")
+    else:
+        # Duplicates are common: compare all rows (identical rows still
+        # collapse map-side in the partial aggregate).
+        pool = hashed
+    exact = (pool.groupBy("__h", *dup_cols).agg(F.count(F.lit(1)).alias("__c"))
              .agg(F.coalesce(F.sum(F.col("__c") - 1), F.lit(0)).cast("long").alias("__dups")))
     # Combine two single-row results without a join: union in long form.
     metrics = ["__total", "__dups"] + [f"__null{i}" for i in range(len(null_cols))]

@@ -48,8 +48,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder: ``spark.checkpoint.dir`` if the cluster
-    set it, else the context's checkpoint dir, else a fresh local folder
-    (only reached in local runs and tests)."""
+    set it, else the context's checkpoint dir, else - in local mode only
+    (tests, laptops) - a fresh local folder."""
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
@@ -59,6 +59,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        # Executors cannot see a folder on the driver's disk.
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     local = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(local)
     return local

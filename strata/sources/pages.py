@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.expr import (as_column, date_literal, epoch_ms_to_ts, parse_decimal,
+from strata.functions.expr import (date_literal, epoch_ms_to_ts, parse_decimal,
                                    ts_literal, ts_to_epoch_ms)
 from strata.schemas import ENDPOINT_FIELDS, ENVELOPES
 from strata.sources.catalog import glob_matches

@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.expr import EPOCH_NTZ, ts_literal
-from strata.operators.dedupe import keep_latest
 from strata.schemas import ENVELOPES
 from strata.session import work_dir
 from strata.sources import fixtures as fx
@@ -202,5 +201,5 @@ def q_stream_daily_trades(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-__all__ = ["ingest_pages", "ingest_new_keys", "dedupe_stream", "daily_totals", "to_instant", "to_wall",
-           "keep_latest"]
+__all__ = ["ingest_pages", "ingest_all_endpoints", "ingest_new_keys", "dedupe_stream", "daily_totals",
+           "to_instant", "to_wall"]

@@ -80,7 +80,6 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_path):
 
 
 def test_quality_log_and_reset(spark, tmp_path):
-    from strata.operators import quality  # noqa: F401
     root = str(tmp_path / "tables")
     df = spark.createDataFrame([("1", None), ("1", None)], "client_id string, affiliate_id string")
     jobs.log_quality(spark, root, df, "bronze_customers", T("2024-01-01"))
