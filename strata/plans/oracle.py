@@ -530,6 +530,9 @@ def oracle() -> dict[str, str]:
                                 "GROUP BY user_id HAVING MIN(ts) >= TIMESTAMP '2024-01-02 00:00:00'",
         "stream_trades_dedup": "SELECT CAST(user_id AS VARCHAR) AS client_id, ts AS trade_time, "
                                "CAST(value AS DECIMAL(18,8)) AS trade_volume FROM events",
+        "stream_trades_upsert": "SELECT CAST(user_id AS VARCHAR) AS client_id, ts AS trade_time, "
+                                "CAST(value AS DECIMAL(18,8)) AS trade_volume, "
+                                "TIMESTAMP '2024-01-31 00:00:00' AS last_updated FROM events",
         "stream_daily_trades": "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS date, COUNT(*) AS total_trades, "
                                "CAST(SUM(CAST(value AS DECIMAL(18,8))) AS DECIMAL(28,8)) AS total_volume FROM events GROUP BY 1",
         "run_all_layers": _run_all_layers(),

@@ -556,6 +556,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ingest": st.q_stream_ingest,
         "stream_new_customers": st.q_stream_new_customers,
         "stream_trades_dedup": st.q_stream_trades_dedup,
+        "stream_trades_upsert": st.q_stream_trades_upsert,
         "stream_daily_trades": st.q_stream_daily_trades,
         "run_all_layers": jobs.q_run_all_layers,
         "run_bronze_layer": jobs.q_run_bronze_layer,

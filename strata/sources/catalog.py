@@ -195,7 +195,11 @@ class PartitionedTable:
 
         from strata.operators.merge import has_at_most
         if not self.exists() or not has_data(self.spark, self.root):
-            self.write(merge_upsert(self.read(), source, self.keys, rules, now, updated_col))
+            if self.schema is None:
+                stamp = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
+                self.write(source.withColumn(updated_col, stamp) if updated_col else source)
+            else:
+                self.write(merge_upsert(self.read(), source, self.keys, rules, now, updated_col))
             return []
         touched = self._with_part(source.select(*self.keys)).select(self.part_col).distinct()
         if not has_at_most(touched, self.max_touched):

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.expr import EPOCH_NTZ, ts_literal
-from strata.schemas import ENVELOPES
+from strata.schemas import ENVELOPES, SILVER
 from strata.session import work_dir
 from strata.sources import fixtures as fx
 from strata.sources import pages
@@ -102,6 +102,21 @@ def ingest_new_keys(stream: DataFrame, keys: Sequence[str], event_time: str, key
     _run(stream.writeStream.foreachBatch(sink), checkpoint)
 
 
+def upsert_stream(stream: DataFrame, table, keys: Sequence[str], order_by: Sequence, rules=None,
+                  now=None, checkpoint: str | None = None) -> None:
+    """Keep-latest streaming upsert: each micro-batch is reduced to its
+    latest row per key and merged into ``table`` (a PartitionedTable or
+    SnapshotTable) with the per-column ``rules``; only the partitions a
+    batch touches are rewritten.  Replays of a batch are idempotent."""
+    from strata.operators.dedupe import keep_latest
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        latest = keep_latest(batch, keys, order_by)
+        table.upsert(latest, rules, now)
+
+    _run(stream.writeStream.foreachBatch(sink), checkpoint)
+
+
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """Drop rows whose key was already seen within ``delay`` of event time
     (state is bounded by the watermark)."""
@@ -184,6 +199,30 @@ def q_stream_trades_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def q_stream_trades_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Two overlapping deliveries of the trade feed upserted (keep-latest per
+    (client, trade_time)) into a month-partitioned silver table."""
+    from strata.sources.catalog import PartitionedTable
+    base = work_dir(spark, "stream_trades_upsert")
+    landing, ckpt = base + "/landing", base + "/_checkpoint"
+    table = PartitionedTable(spark, base + "/tradeactivities", ["client_id", "trade_time"], "trade_month",
+                             lambda: F.date_format("trade_time", "yyyy-MM"), SILVER["tradeactivities"])
+    tr = _events_as_trades(spark, sf)
+    first, second = DELIVERY_SPLIT
+    order = [F.col("trade_volume").desc_nulls_last()]
+    stamp = ts_literal(fx.EVENTS_AS_OF)
+
+    def run() -> None:
+        src = (spark.readStream.schema(tr.schema).option("recursiveFileLookup", "true").parquet(landing))
+        upsert_stream(src, table, ["client_id", "trade_time"], order, {"trade_volume": "replace"}, stamp, ckpt)
+
+    tr.filter(F.col("trade_time") < ts_literal(first)).write.parquet(landing + "/delivery=1")
+    run()
+    tr.filter(F.col("trade_time") >= ts_literal(second)).write.parquet(landing + "/delivery=2")
+    run()
+    return table.read()
+
+
 def q_stream_daily_trades(spark: SparkSession, sf: str) -> DataFrame:
     """Daily totals from a stream (complete mode); equals the batch view."""
     base = work_dir(spark, "stream_daily_trades")
@@ -201,5 +240,6 @@ def q_stream_daily_trades(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-__all__ = ["ingest_pages", "ingest_all_endpoints", "ingest_new_keys", "dedupe_stream", "daily_totals",
+__all__ = ["ingest_pages", "ingest_all_endpoints", "ingest_new_keys", "upsert_stream", "dedupe_stream",
+           "daily_totals",
            "to_instant", "to_wall"]

@@ -61,3 +61,26 @@ def test_instant_conversions_are_inverse(spark):
     df = spark.createDataFrame([(T("2024-03-31 01:30:00.123456"),)], "ts timestamp_ntz")
     back = df.select(ingest.to_wall(ingest.to_instant("ts")).alias("x")).collect()[0].x
     assert back == T("2024-03-31 01:30:00.123456")
+
+
+def test_upsert_stream_keeps_latest_and_replaces(spark, tmp_path):
+    from strata.sources.catalog import PartitionedTable
+    schema = "client_id string, trade_time timestamp_ntz, trade_volume decimal(18,8)"
+    landing, ckpt = str(tmp_path / "l"), str(tmp_path / "c")
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["client_id", "trade_time"], "trade_month",
+                             lambda: F.date_format("trade_time", "yyyy-MM"))
+    order = [F.col("trade_volume").desc()]
+    stamp = F.lit(T("2024-02-01")).cast("timestamp_ntz")
+
+    def run():
+        src = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(landing)
+        ingest.upsert_stream(src, table, ["client_id", "trade_time"], order, {"trade_volume": "replace"}, stamp, ckpt)
+
+    spark.createDataFrame([("1", T("2024-01-01"), Decimal("1")), ("2", T("2024-01-02"), Decimal("2"))],
+                          schema).write.parquet(landing + "/d=1")
+    run()
+    spark.createDataFrame([("1", T("2024-01-01"), Decimal("5")), ("1", T("2024-01-01"), Decimal("3"))],
+                          schema).write.parquet(landing + "/d=2")
+    run()
+    got = {r.client_id: r.trade_volume for r in table.read().collect()}
+    assert got == {"1": Decimal("5"), "2": Decimal("2")}
