@@ -48,8 +48,10 @@ def _profile_counts(df: DataFrame, dup_cols: Sequence[str], null_cols: Sequence[
     # Hash of the duplicate columns; NULL and position are encoded so that
     # only genuine collisions need the exact pass.
     tagged = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in dup_cols]
+    from strata.session import materialize
     hashed = df.withColumn("__h", F.xxhash64(*tagged))
-    per_hash = hashed.groupBy("__h").agg(*inner)
+    # ~16 bytes per distinct row, read three times below: compute it once.
+    per_hash = materialize(hashed.groupBy("__h").agg(*inner))
     totals = per_hash.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("__total"),
         *[F.coalesce(F.sum(f"__nn{i}"), F.lit(0)).cast("long").alias(f"__null{i}") for i in range(len(null_cols))])

@@ -20,7 +20,7 @@ from strata.operators import dedupe, quality
 from strata.plans import gold, reports, silver
 from strata.sources import fixtures as fx
 from strata.sources import pages
-from strata.session import work_dir
+from strata.session import materialize, work_dir
 
 # The fixture clocks and batch boundaries used by the queries.
 AS_OF = fx.AS_OF
@@ -52,13 +52,17 @@ class Layers:
     built once per query, so every branch of a plan uses the same subplan
     and Spark reuses its exchanges instead of recomputing them."""
 
-    def __init__(self, spark: SparkSession, sf: str, now=NOW1):
-        self.spark, self.sf, self.now = spark, sf, now
+    def __init__(self, spark: SparkSession, sf: str, now=NOW1, store_silver: bool = False):
+        self.spark, self.sf, self.now, self.store_silver = spark, sf, now, store_silver
         self._memo: dict[str, DataFrame] = {}
 
-    def _get(self, name, build):
+    def _get(self, name, build, stored: bool = False):
         if name not in self._memo:
-            self._memo[name] = build()
+            df = build()
+            # Silver tables are stored tables in the layer jobs; when a query
+            # reads one several times, compute it once into the checkpoint
+            # folder instead of re-running its dedupe in every branch.
+            self._memo[name] = materialize(df) if stored and self.store_silver else df
         return self._memo[name]
 
     def bronze_customers(self): return self._get("bc", lambda: fx.customers(self.spark, self.sf))
@@ -67,16 +71,17 @@ class Layers:
     def bronze_assets(self): return self._get("ba", lambda: fx.assets(self.spark, self.sf))
 
     def affiliates(self):
-        return self._get("sa", lambda: silver.build_affiliates(self.bronze_customers(), self.now))
+        return self._get("sa", lambda: silver.build_affiliates(self.bronze_customers(), self.now), True)
 
     def clients(self):
-        return self._get("sc", lambda: silver.build_clients(self.bronze_customers(), self.now))
+        return self._get("sc", lambda: silver.build_clients(self.bronze_customers(), self.now), True)
 
     def trades(self):
-        return self._get("st", lambda: silver.build_trades(self.bronze_trades(), self.clients(), self.now)[0])
+        return self._get("st", lambda: silver.build_trades(self.bronze_trades(), self.clients(), self.now)[0], True)
 
     def deposits(self):
-        return self._get("sd", lambda: silver.build_deposits(self.bronze_deposits(), self.clients(), self.now)[0])
+        return self._get("sd", lambda: silver.build_deposits(self.bronze_deposits(), self.clients(), self.now)[0],
+                         True)
 
     def performance(self):
         return gold.gold_performance(self.affiliates(), self.clients(), self.trades(), AS_OF)
