@@ -440,6 +440,10 @@ def oracle() -> dict[str, str]:
                                            "COUNT(DISTINCT CAST(trade_time AS DATE)) AS days_covered FROM bt GROUP BY affiliate_id"),
         "validate_envelope": with_([b("bt")], "SELECT affiliate_id, CAST(date_trunc('year', trade_time) AS DATE) AS dt, "
                                               "TRUE AS code_valid, COUNT(*) AS records FROM bt GROUP BY ALL"),
+        "corrupt_quarantine": with_([b("bt")], "SELECT affiliate_id, 'valid' AS kind, COUNT(*) AS records FROM bt GROUP BY 1 "
+                                               "UNION ALL SELECT CAST(page_id % 25 AS VARCHAR), 'corrupt', COUNT(*) FROM "
+                                               "(SELECT page_id, unnest(string_split(html, chr(10))) AS line FROM pages) "
+                                               "GROUP BY 1"),
         "bronze_insert_ignore": _bronze_insert_ignore(),
         "bronze_append": with_([b("bt")], f"SELECT {bt_cols}, 1 AS load_batch FROM bt WHERE trade_time < TIMESTAMP '2000-01-01 00:00:00' "
                                           f"UNION ALL SELECT {bt_cols}, 2 FROM bt WHERE trade_time >= TIMESTAMP '1999-07-01 00:00:00'"),

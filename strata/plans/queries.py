@@ -138,6 +138,23 @@ def q_landing_write(spark, sf):
     return pages.landing_summary(spark, root, "deposits").select("affiliate_id", "endpoint", "dt", "records")
 
 
+def q_corrupt_quarantine(spark, sf):
+    """Landing folders that also hold HTML error pages (the ``pages`` table)
+    instead of JSON: the scan loads the valid pages and quarantines every
+    unreadable line.  Records per affiliate and kind."""
+    root = _landing(spark, sf, "trade_activities")
+    junk = fx.table(spark, sf, "pages").select(
+        F.col("html"), (F.col("page_id") % fx.AFFILIATE_SPREAD).cast("string").alias("affiliate_id"),
+        F.lit("trade_activities").alias("endpoint"), F.lit(AS_OF).alias("dt"))
+    junk.write.mode("append").partitionBy("affiliate_id", "endpoint", "dt").text(root)
+    scan = pages.scan_pages(spark, root, "trade_activities", load_time=NOW1, dt_unit=DT_UNIT)
+    valid = scan.rows.groupBy("affiliate_id").agg(F.count(F.lit(1)).alias("records")) \
+        .select("affiliate_id", F.lit("valid").alias("kind"), "records")
+    bad = scan.quarantine.groupBy("affiliate_id").agg(F.count(F.lit(1)).alias("records")) \
+        .select("affiliate_id", F.lit("corrupt").alias("kind"), "records")
+    return valid.unionByName(bad)
+
+
 def q_validate_envelope(spark, sf):
     """Response-code check over every landing page: records per folder and
     code validity."""
@@ -504,6 +521,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "landing_write": q_landing_write,
         "batch_metadata": q_batch_metadata,
         "validate_envelope": q_validate_envelope,
+        "corrupt_quarantine": q_corrupt_quarantine,
         "bronze_insert_ignore": q_bronze_insert_ignore,
         "bronze_append": q_bronze_append,
         "epoch_ms_to_ts": q_epoch_ms_to_ts,
