@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "EPOCH_NTZ", "as_column", "epoch_ms_to_ts", "ts_to_epoch_ms", "parse_decimal",
     "trunc_ntz", "safe_div", "ratio_double", "pct_rounded", "ts_literal",
-    "date_literal", "days_before", "affiliate_name", "affiliate_email",
+    "date_literal", "days_before", "affiliate_name", "affiliate_email", "ratio_half_up",
 ]
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -75,6 +75,26 @@ def ratio_double(num, den, digits: int = 4) -> Column:
         .otherwise(F.lit(0.0))
 
 
+def ratio_half_up(num, den, digits: int, num_scale: int = 0) -> Column:
+    """``num / den`` rounded half-up to ``digits`` decimals *exactly*, as
+    DOUBLE; 0 when ``den`` is not positive.
+
+    ``num`` is an integer or a decimal with ``num_scale`` fraction digits,
+    ``den`` an integer count.  The quotient is formed in integer units
+    (no binary floating point before the final conversion), so a value
+    like 257558.95125 rounds to .9513 as decimal arithmetic would.
+    """
+    num, den = as_column(num), as_column(den)
+    k = 10 ** num_scale
+    units = (num * F.lit(k)).cast("decimal(38,0)")
+    mag = (F.abs(units) * F.lit(2 * 10 ** digits) + den.cast("decimal(38,0)") * F.lit(k)).cast("decimal(38,0)")
+    step = (den.cast("decimal(38,0)") * F.lit(2 * k)).cast("decimal(38,0)")
+    # exact integer quotient: subtract the remainder, then divide
+    whole = ((mag - F.pmod(mag, step)) / step).cast("decimal(38,0)")
+    signed = F.when(units < 0, -whole).otherwise(whole)
+    return F.when(den > 0, signed.cast("double") / F.lit(float(10 ** digits))).otherwise(F.lit(0.0))
+
+
 def pct_rounded(num, den, digits: int = 2) -> Column:
     """``ROUND(100.0 * num / den, digits)``, 0 when den is not positive."""
     num, den = as_column(num), as_column(den)

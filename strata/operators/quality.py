@@ -113,11 +113,15 @@ def dq_report(df: DataFrame, table_name: str, *, check_time: Column | None = Non
     total = F.col("__total")
     null_pcts = [_pct(F.col(f"__null{i}"), total) for i in range(len(cols))]
     dup_pct = _pct(F.col("__dups"), total)
+    # Messages print percentages with two decimals like '%.2f' on a float:
+    # the exact binary value, ties to even (format_number; values <= 100).
     issues = [F.when(p > max_null_pct,
-                     F.format_string(f"Column '{c}' has %.2f%% null values (threshold: {max_null_pct}%%)", p))
+                     F.concat(F.lit(f"Column '{c}' has "), F.format_number(p, 2),
+                              F.lit(f"% null values (threshold: {max_null_pct}%)")))
               for c, p in zip(cols, null_pcts)]
     issues.append(F.when(dup_pct > max_dup_pct,
-                         F.format_string(f"Table has %.2f%% duplicate records (threshold: {max_dup_pct}%%)", dup_pct)))
+                         F.concat(F.lit("Table has "), F.format_number(dup_pct, 2),
+                                  F.lit(f"% duplicate records (threshold: {max_dup_pct}%)"))))
     issue_arr = F.filter(F.array(*issues), lambda x: x.isNotNull())
     stamp = check_time if check_time is not None else F.current_timestamp().cast("timestamp_ntz")
     return counts.select(
@@ -126,6 +130,7 @@ def dq_report(df: DataFrame, table_name: str, *, check_time: Column | None = Non
         total.alias("total_records"),
         F.map_from_arrays(F.array(*[F.lit(c) for c in cols]), F.array(*null_pcts)).alias("null_percentages"),
         dup_pct.alias("duplicate_percentage"),
+        F.col("__dups").alias("duplicate_count"),
         (F.size(issue_arr) == 0).alias("validation_passed"),
         issue_arr.alias("issues"),
     )

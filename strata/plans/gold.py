@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.expr import days_before, pct_rounded, ratio_double, ts_literal, trunc_ntz
+from strata.functions.expr import days_before, ratio_half_up, ts_literal, trunc_ntz
 
 DEC = "decimal(28,8)"
 
@@ -210,7 +210,7 @@ def trading_metrics(clients: DataFrame, trades: DataFrame, as_of) -> DataFrame:
     agg = (with_affiliate(recent, clients).groupBy("affiliate_id")
            .agg(F.sum("__n").cast("long").alias("trades_30d"),
                 F.coalesce(F.sum("__v"), _zd()).cast(DEC).alias("trading_volume_30d")))
-    return agg.withColumn("avg_trade_size", ratio_double("trading_volume_30d", "trades_30d"))
+    return agg.withColumn("avg_trade_size", ratio_half_up("trading_volume_30d", "trades_30d", 4, 8))
 
 
 def trading_metrics_per_trader(clients: DataFrame, trades: DataFrame, as_of) -> DataFrame:
@@ -220,7 +220,7 @@ def trading_metrics_per_trader(clients: DataFrame, trades: DataFrame, as_of) ->
     agg = (with_affiliate(recent, clients).groupBy("affiliate_id")
            .agg(F.count(F.lit(1)).alias("traders_30d"),
                 F.coalesce(F.sum("__v"), _zd()).cast(DEC).alias("trading_volume_30d")))
-    return agg.withColumn("avg_volume_per_trader", ratio_double("trading_volume_30d", "traders_30d"))
+    return agg.withColumn("avg_volume_per_trader", ratio_half_up("trading_volume_30d", "traders_30d", 4, 8))
 
 
 def gold_performance(affiliates: DataFrame, clients: DataFrame, trades: DataFrame, as_of) -> DataFrame:
@@ -232,7 +232,7 @@ def gold_performance(affiliates: DataFrame, clients: DataFrame, trades: DataFram
         _zero("trades_30d").alias("trades_30d"),
         _zero_dec("trading_volume_30d").alias("trading_volume_30d"),
         F.coalesce(F.col("avg_trade_size"), F.lit(0.0)).alias("avg_trade_size"),
-        pct_rounded("active_customers_30d", "total_customers", 2).alias("monthly_activation_rate"),
+        ratio_half_up(F.col("active_customers_30d") * 100, "total_customers", 2).alias("monthly_activation_rate"),
         _now(as_of).alias("last_updated"), F.lit("performance_metrics").alias("view_type"))
 
 

@@ -17,6 +17,16 @@ CUTOFF_30D = "TIMESTAMP '2001-07-02 00:00:00'"
 AS_OF_DATE = "DATE '2001-08-01'"
 
 
+def half_up(num: str, den: str, digits: int, scale: int = 0) -> str:
+    """Exact half-up rounding of num/den to ``digits`` decimals as DOUBLE
+    (integer arithmetic; ``num`` has ``scale`` fraction digits)."""
+    k = 10 ** scale
+    u = f"CAST(({num}) * {k} AS HUGEINT)"
+    d = f"CAST(({den}) AS HUGEINT)"
+    return (f"(CASE WHEN ({den}) > 0 THEN CAST(sign({u}) * ((abs({u}) * {2 * 10 ** digits} + {d} * {k}) "
+            f"// ({d} * {2 * k})) AS DOUBLE) / {float(10 ** digits)} ELSE 0.0 END)")
+
+
 def ts(text: str) -> str:
     return f"TIMESTAMP '{text}'"
 
@@ -166,18 +176,14 @@ GROUP BY a.affiliate_id, a.name"""
 
 TM = f"""SELECT c.affiliate_id, COUNT(t.client_id) AS trades_30d,
        CAST(COALESCE(SUM(t.trade_volume), 0) AS DECIMAL(28,8)) AS trading_volume_30d,
-       CASE WHEN COUNT(t.client_id) > 0
-            THEN ROUND(CAST(COALESCE(SUM(t.trade_volume), 0) AS DOUBLE) / CAST(COUNT(t.client_id) AS DOUBLE), 4)
-            ELSE 0.0 END AS avg_trade_size
+       {half_up("COALESCE(SUM(t.trade_volume), 0)", "COUNT(t.client_id)", 4, 8)} AS avg_trade_size
 FROM sc c LEFT JOIN st t ON c.client_id = t.client_id
 WHERE t.trade_time >= {CUTOFF_30D}
 GROUP BY c.affiliate_id"""
 
 TM_TRADER = f"""SELECT c.affiliate_id, COUNT(DISTINCT t.client_id) AS traders_30d,
        CAST(COALESCE(SUM(t.trade_volume), 0) AS DECIMAL(28,8)) AS trading_volume_30d,
-       CASE WHEN COUNT(DISTINCT t.client_id) > 0
-            THEN ROUND(CAST(COALESCE(SUM(t.trade_volume), 0) AS DOUBLE) / CAST(COUNT(DISTINCT t.client_id) AS DOUBLE), 4)
-            ELSE 0.0 END AS avg_volume_per_trader
+       {half_up("COALESCE(SUM(t.trade_volume), 0)", "COUNT(DISTINCT t.client_id)", 4, 8)} AS avg_volume_per_trader
 FROM sc c JOIN st t ON c.client_id = t.client_id
 WHERE t.trade_time >= {CUTOFF_30D}
 GROUP BY c.affiliate_id"""
@@ -188,8 +194,7 @@ GP = f"""SELECT m.affiliate_id, m.affiliate_name, CAST(m.total_customers AS BIGI
        CAST(COALESCE(t.trades_30d, 0) AS BIGINT) AS trades_30d,
        CAST(COALESCE(t.trading_volume_30d, 0) AS DECIMAL(28,8)) AS trading_volume_30d,
        COALESCE(t.avg_trade_size, 0.0) AS avg_trade_size,
-       CASE WHEN m.total_customers > 0 THEN ROUND(100.0 * m.active_customers_30d / m.total_customers, 2)
-            ELSE 0.0 END AS monthly_activation_rate,
+       {half_up("m.active_customers_30d * 100", "m.total_customers", 2)} AS monthly_activation_rate,
        {NOW1} AS last_updated, 'performance_metrics' AS view_type
 FROM am m LEFT JOIN tm t ON m.affiliate_id = t.affiliate_id"""
 
@@ -303,7 +308,7 @@ def _pct(part: str, total: str) -> str:
 def null_profile(src: str, cols: list[str]) -> str:
     parts = [f"SELECT '{c}' AS column_name, COUNT(*) AS total_records, "
              f"CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS null_count, "
-             f"ROUND({_pct(f'(COUNT(*) - COUNT({c}))', 'COUNT(*)')}, 4) AS null_pct FROM {src}" for c in cols]
+             f"{half_up(f'(COUNT(*) - COUNT({c})) * 100', 'COUNT(*)', 4)} AS null_pct FROM {src}" for c in cols]
     return "\nUNION ALL ".join(parts)
 
 
@@ -325,7 +330,8 @@ def dq_report(src: str, table: str, cols: list[str], dup_cols: list[str], now: s
     return f"""WITH n AS (SELECT COUNT(*) AS total, {nulls} FROM {src}),
 d AS ({dup_counts(src, dup_cols)})
 SELECT '{table}' AS table_name, {now} AS check_timestamp, d.total_records,
-       ROUND({dup_pct}, 4) AS duplicate_percentage, ({n_issues}) = 0 AS validation_passed,
+       {half_up("d.duplicate_count * 100", "d.total_records", 4)} AS duplicate_percentage,
+       ({n_issues}) = 0 AS validation_passed,
        CAST({n_issues} AS INTEGER) AS issue_count,
        concat_ws(' | ', {', '.join(issue_parts)}) AS issues_text
 FROM n, d"""
@@ -512,7 +518,7 @@ def oracle() -> dict[str, str]:
         "dq_null_pct": with_([b("dl")], null_profile("dl", DL_COLS)),
         "dq_duplicate_pct": with_([b("dl"), ("c", dup_counts("dl", ["lang", "source", "quality", "toxic"]))],
                                   f"SELECT total_records, duplicate_count, "
-                                  f"ROUND({_pct('duplicate_count', 'total_records')}, 4) AS duplicate_pct FROM c"),
+                                  f"{half_up('duplicate_count * 100', 'total_records', 4)} AS duplicate_pct FROM c"),
         "dq_report": with_([b("dl")], "SELECT * FROM (" + dq_report("dl", "documents_labeled", DL_COLS, DL_COLS, NOW1) + ")"),
         "dq_bronze": with_([b("bd")], "SELECT table_name, total_records, duplicate_percentage, validation_passed, issue_count "
                                       "FROM (" + dq_report("bd", "bronze_deposits", BD_COLS, BD_DUP, NOW1) + ")"),

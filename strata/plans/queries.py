@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.expr import (days_before, epoch_ms_to_ts, parse_decimal, ts_literal,
+from strata.functions.expr import (days_before, epoch_ms_to_ts, parse_decimal, ratio_half_up, ts_literal,
                                    ts_to_epoch_ms, trunc_ntz)
 from strata.operators import dedupe, quality
 from strata.plans import gold, reports, silver
@@ -417,20 +417,22 @@ def q_report_affiliate_metrics(spark, sf):
 
 def q_dq_null_pct(spark, sf):
     p = quality.null_profile(fx.documents_labeled(spark, sf))
-    return p.select("column_name", "total_records", "null_count", F.round("null_pct", 4).alias("null_pct"))
+    return p.select("column_name", "total_records", "null_count",
+                    ratio_half_up(F.col("null_count") * 100, "total_records", 4).alias("null_pct"))
 
 
 def q_dq_duplicate_pct(spark, sf):
     d = fx.documents_labeled(spark, sf)
     s = quality.duplicate_stats(d, ["lang", "source", "quality", "toxic"])
-    return s.select("total_records", "duplicate_count", F.round("duplicate_pct", 4).alias("duplicate_pct"))
+    return s.select("total_records", "duplicate_count",
+                    ratio_half_up(F.col("duplicate_count") * 100, "total_records", 4).alias("duplicate_pct"))
 
 
 def q_dq_report(spark, sf):
     d = fx.documents_labeled(spark, sf)
     r = quality.dq_report(d, "documents_labeled", check_time=ts_literal(NOW1))
     return r.select("table_name", "check_timestamp", "total_records",
-                    F.round("duplicate_percentage", 4).alias("duplicate_percentage"),
+                    ratio_half_up(F.col("duplicate_count") * 100, "total_records", 4).alias("duplicate_percentage"),
                     "validation_passed", F.size("issues").alias("issue_count"),
                     F.array_join("issues", " | ").alias("issues_text"))
 
@@ -442,7 +444,7 @@ def q_dq_sample(spark, sf):
                                    [F.col("last_updated").desc(), "client_id", "trade_time"])
     r = quality.dq_report(sample, "tradeactivities", check_time=ts_literal(NOW2))
     return r.select("table_name", "check_timestamp", "total_records",
-                    F.round("duplicate_percentage", 4).alias("duplicate_percentage"), "validation_passed",
+                    ratio_half_up(F.col("duplicate_count") * 100, "total_records", 4).alias("duplicate_percentage"), "validation_passed",
                     F.size("issues").alias("issue_count"), F.array_join("issues", " | ").alias("issues_text"))
 
 
@@ -453,14 +455,14 @@ def q_dq_log(spark, sf):
     root = work_dir(spark, "dq_log")
     jobs.log_quality(spark, root, fx.deposits(spark, sf), "bronze_deposits", NOW1)
     log = jobs.read_quality_log(spark, root)
-    return log.select("table_name", "total_records", F.round("duplicate_percentage", 4).alias("duplicate_percentage"),
+    return log.select("table_name", "total_records", ratio_half_up(F.col("duplicate_count") * 100, "total_records", 4).alias("duplicate_percentage"),
                       "validation_passed", F.size("issues").alias("issue_count"))
 
 
 def q_dq_bronze(spark, sf):
     """Quality row of an incoming bronze batch, before conflict handling."""
     r = quality.dq_report(fx.deposits(spark, sf), "bronze_deposits", check_time=ts_literal(NOW1))
-    return r.select("table_name", "total_records", F.round("duplicate_percentage", 4).alias("duplicate_percentage"),
+    return r.select("table_name", "total_records", ratio_half_up(F.col("duplicate_count") * 100, "total_records", 4).alias("duplicate_percentage"),
                     "validation_passed", F.size("issues").alias("issue_count"))
 
 
