@@ -60,3 +60,24 @@ def test_keep_latest_matches_model(spark):
     got = dict(tuple(r) for r in dedupe.keep_latest(df, ["k"], [F.col("v").desc()]).collect())
     assert got == {"a": 4, "b": 4, "c": 4}
     _ = ts_literal("2024-01-01 00:00:00")
+
+
+@SETTINGS
+@given(pairs=st.lists(st.tuples(st.integers(-10**12, 10**12), st.integers(0, 5000)), min_size=1, max_size=20))
+def test_ratio_half_up_matches_decimal(spark, pairs):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from strata.functions.expr import ratio_half_up
+    rows = [(Decimal(n).scaleb(-8), d) for n, d in pairs]
+    df = spark.createDataFrame(rows, "v decimal(28,8), n long")
+    got = [r.x for r in df.select(ratio_half_up("v", "n", 4, 8).alias("x")).collect()]
+    want = [float((v / d).quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP)) if d > 0 else 0.0 for v, d in rows]
+    assert got == want
+
+
+def test_ratio_half_up_exact_tie(spark):
+    from decimal import Decimal
+
+    from strata.functions.expr import ratio_half_up
+    df = spark.createDataFrame([(Decimal("14423301.27"), 56)], "v decimal(28,8), n long")
+    assert df.select(ratio_half_up("v", "n", 4, 8).alias("x")).collect()[0].x == 257558.9513
