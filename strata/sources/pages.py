@@ -103,7 +103,7 @@ def write_landing(df: DataFrame, root: str, endpoint: str, *, request_time=None,
     # task numbers its rows - and cuts its pages - exactly as before.
     base = (df.select(F.col("affiliate_id").cast("string").alias("affiliate_id"),
                       folder_start(event, dt_unit).alias("dt"), record.alias("rec"))
-            .sortWithinPartitions("affiliate_id", "dt", "rec"))
+            .sortWithinPartitions("affiliate_id", "dt", F.xxhash64("rec"), "rec"))
     pages = (base.withColumn("__page", F.floor(F.monotonically_increasing_id() / F.lit(page_size)))
              .groupBy("affiliate_id", "dt", "__page")
              .agg(F.collect_list("rec").alias("data"))
