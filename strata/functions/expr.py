@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "EPOCH_NTZ", "as_column", "epoch_ms_to_ts", "ts_to_epoch_ms", "parse_decimal",
-    "trunc_ntz", "safe_div", "ratio_double", "pct_rounded", "ts_literal",
+    "trunc_ntz", "safe_div", "ts_literal",
     "date_literal", "days_before", "affiliate_name", "affiliate_email", "ratio_half_up",
 ]
 
@@ -68,13 +68,6 @@ def safe_div(num, den, default=0) -> Column:
     return F.when(den > 0, num / den).otherwise(F.lit(default))
 
 
-def ratio_double(num, den, digits: int = 4) -> Column:
-    """Ratio as rounded DOUBLE, 0 when the denominator is not positive."""
-    num, den = as_column(num), as_column(den)
-    return F.when(den > 0, F.round(num.cast("double") / den.cast("double"), digits)) \
-        .otherwise(F.lit(0.0))
-
-
 def ratio_half_up(num, den, digits: int, num_scale: int = 0) -> Column:
     """``num / den`` rounded half-up to ``digits`` decimals *exactly*, as
     DOUBLE; 0 when ``den`` is not positive.
@@ -95,13 +88,6 @@ def ratio_half_up(num, den, digits: int, num_scale: int = 0) -> Column:
     return F.when(den > 0, signed.cast("double") / F.lit(float(10 ** digits))).otherwise(F.lit(0.0))
 
 
-def pct_rounded(num, den, digits: int = 2) -> Column:
-    """``ROUND(100.0 * num / den, digits)``, 0 when den is not positive."""
-    num, den = as_column(num), as_column(den)
-    return F.when(den > 0, F.round(F.lit(100.0) * num.cast("double") / den.cast("double"), digits)) \
-        .otherwise(F.lit(0.0))
-
-
 def days_before(as_of, days: int) -> Column:
     """Midnight of ``as_of`` minus ``days`` days, as ``timestamp_ntz``."""
     return F.timestamp_add("DAY", F.lit(-days), F.to_date(ts_literal(as_of)).cast("timestamp_ntz"))
