@@ -86,26 +86,30 @@ class Knots:
         return low
 
     def unknown(self, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        """The stretches between knots, of several groups each, that touch the ranges; neighbours are joined."""
+        """For each range the stretch of knots, from the first to the last of several groups, that it
+        touches; stretches that meet are joined."""
         out: list[tuple[int, int]] = []
         for low, high in sorted(ranges):
             i = bisect_right(self.ends, low)
+            several = []
             while i < len(self.ends) and self.ends[i - 1] < high:
                 if self.counts[i] > 1:
-                    s, e = self.ends[i - 1], self.ends[i]
-                    if out and s <= out[-1][1]:
-                        out[-1] = (out[-1][0], max(e, out[-1][1]))
-                    else:
-                        out.append((s, e))
+                    several.append(i)
                 i += 1
+            if several:
+                s, e = self.ends[several[0] - 1], self.ends[several[-1]]
+                if out and s <= out[-1][1]:
+                    out[-1] = (out[-1][0], max(e, out[-1][1]))
+                else:
+                    out.append((s, e))
         return out
 
 
 def finer(groups: DataFrame, stretches: list[tuple[int, int]], width: int) -> list[list[tuple[int, int]]]:
     """For each stretch its knots: the last end of a group in every ``width`` of the running total."""
-    inside = F.lit(None).cast("int")
-    for k, (s, e) in enumerate(stretches):
-        inside = F.when((F.col("upto") > s) & (F.col("upto") <= e), k).otherwise(inside)
+    inside = F
+    for k, (s, e) in enumerate(stretches):   # one for each cut at most
+        inside = inside.when((F.col("upto") > s) & (F.col("upto") <= e), k)
     found = (groups.withColumn("stretch", inside).filter("stretch is not null")
              .groupBy("stretch", F.expr(f"(upto - 1) div {width}").alias("cell"))
              .agg(F.max("upto").alias("end"), F.count("*").alias("n")).collect())
