@@ -7,25 +7,44 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import exact_dedup, mixing, sharding
+from strata.llm import chunk_dedup, exact_dedup, html_text, mixing, quality, sharding, toxicity
 from strata.llm.tables import read
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = toxicity.toxicity_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return report.select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read(spark, sf_dir, "documents"), shards=16)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = quality.quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return report.select("doc_id", "held_out", "score", "predicted")
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(read(spark, sf_dir, "pages"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mix_sources, op6_shard, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op3_mix_sources, op4_substring_dedup, op6_shard, op7_quality,
+                                     op9_html_text, op10_exact_dedup)}
 
 
 OP10_SQL = r"""
