@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chunk_dedup, exact_dedup, html_text, mixing, quality, sharding, toxicity
+from strata.llm import (chunk_dedup, decontaminate, exact_dedup, html_text, mixing, near_dedup, quality, sharding,
+                        toxicity)
 from strata.llm.tables import read
 
 
@@ -25,6 +26,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.repeated_passages(read(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read(spark, sf_dir, "documents"), shards=16)
 
@@ -34,6 +39,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), "contaminated")
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(read(spark, sf_dir, "pages"))
 
@@ -43,9 +54,32 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_mix_sources, op4_substring_dedup, op6_shard, op7_quality,
-                                     op9_html_text, op10_exact_dedup)}
-
+    return {f.__name__: f for f in (op1_toxicity, op3_mix_sources, op4_substring_dedup, op5_near_dedup, op6_shard,
+                                     op7_quality, op8_decontaminate, op9_html_text, op10_exact_dedup)}
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, array_to_string(w[s:s + 9], ' ') AS g, least(len(w), 10) AS m
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS s FROM b WHERE len(w) > 0)),
+place AS (SELECT doc_id, k AS m, s, array_to_string(w[s:s + k - 1], ' ') AS g
+          FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s
+                FROM d, (SELECT DISTINCT m AS k FROM win) WHERE len(w) >= k)),
+hit AS (SELECT p.doc_id, p.s, p.m, win.item_id FROM place p JOIN win USING (g, m)),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                 string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+          FROM hit GROUP BY doc_id),
+covered AS (SELECT doc_id, count(DISTINCT word_no) AS n_hit
+            FROM (SELECT doc_id, unnest(range(s, s + m)) AS word_no FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN items USING (doc_id) LEFT JOIN covered USING (doc_id)
+"""
 
 OP10_SQL = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -57,4 +91,4 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 
 
 def oracle() -> dict[str, str]:
-    return {"op10_exact_dedup": OP10_SQL}
+    return {"op8_decontaminate": OP8_SQL, "op10_exact_dedup": OP10_SQL}
