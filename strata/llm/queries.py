@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (chunk_dedup, decontaminate, exact_dedup, html_text, mixing, near_dedup, quality, sharding,
-                        toxicity)
+from strata.llm import (chunk_dedup, decontaminate, exact_dedup, hmm, html_text, mixing, near_dedup, quality,
+                        sharding, toxicity)
 from strata.llm.tables import read
 
 
@@ -17,6 +17,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = hmm.language_model_scores(read(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
@@ -53,9 +58,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_mix_sources, op4_substring_dedup, op5_near_dedup, op6_shard,
-                                     op7_quality, op8_decontaminate, op9_html_text, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_language_model, op3_mix_sources, op4_substring_dedup, op5_near_dedup, op6_shard,
+                                     op7_quality, op8_decontaminate, op9_html_text, op10_exact_dedup, pipeline)}
 
 
 OP8_SQL = r"""
