@@ -33,7 +33,7 @@ STATES = 8
 FREQUENT = 8192           # a word with one in so many of the tokens is its own class: at most so many words
 ENDINGS = 2048            # classes of the other words
 SEGMENT = 128             # training sequences are cut into segments of so many tokens
-BLOCK_BYTES = 4 << 20     # text per block
+BLOCK_BYTES = 2 << 20     # text per block
 START_SEGMENTS = 4096     # segments on which the first model is shaped (start values only)
 START_ROUNDS, ROUNDS = 12, 2
 SMOOTHING = 0.1           # of the unigram counts
@@ -68,23 +68,34 @@ def token_batches(batches):
         for at, rows, n, tokens, ending in fold(batch.column("text")):
             words, first, places = np.unique(tokens, return_index=True, return_inverse=True)
             mine = train[at:at + rows]
-            counts = np.bincount(places, weights=np.repeat(mine, n), minlength=len(words)).astype(np.int64)
+            counts = np.bincount(places, weights=np.repeat(mine, n), minlength=len(words)).astype(np.int32)
+            small = np.uint16 if len(words) <= 1 << 16 else np.int32
             number += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([ids.slice(at, rows).to_pylist()], pa.list_(pa.int64())),
                  pa.array([mine.tolist()], pa.list_(pa.bool_())), pa.array([n.tolist()], pa.list_(pa.int32())),
-                 *[pa.array([x.tobytes()], pa.binary()) for x in (places.astype(np.int32), words, ending[first], counts)]],
+                 *[pa.array([x.tobytes()], pa.binary()) for x in (places.astype(small), words, ending[first], counts)]],
                 names=["block", "doc_id", "train", "n", "ids", "words", "endings", "counts"])
 
 
-def word_batches(batches):
+def blocks_of(batches):
+    """The blocks of Arrow batches, one at a time."""
     for batch in batches:
-        for r in batch.to_pylist():
-            words = np.frombuffer(r["words"], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(words), r["block"])), pa.array(np.arange(len(words), dtype=np.int32)), pa.array(words),
-                 pa.array(np.frombuffer(r["endings"], dtype=np.uint16).astype(np.int32)),
-                 pa.array(np.frombuffer(r["counts"], dtype=np.int64))], names=["block", "place", "word", "ending", "c"])
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def places_of(r: dict, n: np.ndarray) -> np.ndarray:
+    return np.frombuffer(r["ids"], dtype=np.uint16 if len(r["ids"]) == 2 * n.sum() else np.int32)
+
+
+def word_batches(batches):
+    for r in blocks_of(batches):
+        words = np.frombuffer(r["words"], dtype=np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(words), r["block"])), pa.array(np.arange(len(words), dtype=np.int32)), pa.array(words),
+             pa.array(np.frombuffer(r["endings"], dtype=np.uint16).astype(np.int32)),
+             pa.array(np.frombuffer(r["counts"], dtype=np.int32).astype(np.int64))], names=["block", "place", "word", "ending", "c"])
 
 
 class Model:
@@ -143,7 +154,7 @@ def forward(model: Model, seq: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
-def expected(model: Model, seq: np.ndarray, n: np.ndarray, width: int = 4096):
+def expected(model: Model, seq: np.ndarray, n: np.ndarray, width: int = 1024):
     """Expected start, transition and class counts of sequences of at most ``SEGMENT`` tokens."""
     first, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((len(model.mass), STATES))
     factor = np.ascontiguousarray(model.factor.T)
@@ -186,21 +197,19 @@ def segments(n: np.ndarray) -> np.ndarray:
 
 def training_classes(model: Model, r: dict) -> tuple[np.ndarray, np.ndarray]:
     """Class sequences of a block's training texts and the lengths of their segments."""
-    words, counts = np.frombuffer(r["words"], dtype=np.uint64), np.frombuffer(r["counts"], dtype=np.int64)
+    words, counts = np.frombuffer(r["words"], dtype=np.uint64), np.frombuffer(r["counts"], dtype=np.int32)
     classes = model.classes(words, np.frombuffer(r["endings"], dtype=np.uint16), counts > 0)
     n, train = np.array(r["n"]), np.array(r["train"], dtype=bool)
-    return classes[np.frombuffer(r["ids"], dtype=np.int32)[np.repeat(train, n)]], segments(n[train])
+    return classes[places_of(r, n)[np.repeat(train, n)]], segments(n[train])
 
 
 def count_batches(model: Model):
     """Expected counts of a task, one row per state."""
     def run(batches):
         first, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, len(model.mass)))
-        for batch in batches:
-            for r in batch.to_pylist():
-                seq, n = training_classes(model, r)
-                a, b, c = expected(model, seq, n)
-                first, move, emit = first + a, move + b, emit + c
+        for r in blocks_of(batches):
+            a, b, c = expected(model, *training_classes(model, r))
+            first, move, emit = first + a, move + b, emit + c
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(STATES), pa.int32()), pa.array(first), pa.array(list(move), pa.list_(pa.float64())),
              pa.array(list(emit), pa.list_(pa.float64()))], names=["state", "first", "move", "emit"])
@@ -216,15 +225,14 @@ def add_counts(table: pa.Table) -> pa.Table:
 def sample_batches(model: Model):
     """A few segments of each block, by a hash of their place."""
     def run(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                seq, n = training_classes(model, r)
-                at = np.cumsum(n) - n
-                pick = kernels.mix(at.astype(np.uint64) + np.uint64(r["block"])) >> np.uint64(1)
-                keep = np.argsort(pick, kind="stable")[:START_SEGMENTS // 16]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(pick[keep].astype(np.int64)), pa.array([seq[at[i]:at[i] + n[i]] for i in keep], pa.list_(pa.int64()))],
-                    names=["pick", "seq"])
+        for r in blocks_of(batches):
+            seq, n = training_classes(model, r)
+            at = np.cumsum(n) - n
+            pick = kernels.mix(at.astype(np.uint64) + np.uint64(r["block"])) >> np.uint64(1)
+            keep = np.argsort(pick, kind="stable")[:START_SEGMENTS // 16]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pick[keep].astype(np.int64)), pa.array([seq[at[i]:at[i] + n[i]] for i in keep], pa.list_(pa.int64()))],
+                names=["pick", "seq"])
     return run
 
 
@@ -298,7 +306,8 @@ def score_groups(trained_tokens: int, distinct: int, model: Model):
             words = np.frombuffer(r["words"], dtype=np.uint64)
             c = np.zeros(len(words), dtype=np.int64)
             c[place] = total
-            ids, n = np.frombuffer(r["ids"], dtype=np.int32), np.array(r["n"])
+            n = np.array(r["n"])
+            ids = places_of(r, n)
             ends = np.cumsum(n)
             base = kernels.per_row_sum(np.log10((c + SMOOTHING) / below)[ids] if below else np.zeros(len(ids)), ends)
             classes = model.classes(words, np.frombuffer(r["endings"], dtype=np.uint16), c > 0)

@@ -22,7 +22,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back:
     lineage is cut, columns can be pruned, and a lost executor loses nothing."""
     path = work_dir(df.sparkSession, "llm", name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
