@@ -40,9 +40,11 @@ def date_literal(value) -> Column:
 def epoch_ms_to_ts(c) -> Column:
     """Epoch-millisecond value (string or number) -> ``timestamp_ntz``.
 
-    Time-zone independent: the wall clock is UTC.  Unparseable text -> NULL.
+    Time-zone independent: the wall clock is UTC.  Unparseable text and
+    values outside the years 1 to 9999 -> NULL.
     """
     ms = as_column(c).try_cast("bigint")
+    ms = F.when(ms.between(-62135596800000, 253402300799999), ms)
     return F.timestamp_add("MILLISECOND", ms, F.expr(EPOCH_NTZ))
 
 

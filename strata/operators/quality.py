@@ -47,7 +47,10 @@ def _profile_counts(df: DataFrame, dup_cols: Sequence[str], null_cols: Sequence[
         return grouped.agg(*outer)
     # Hash of the duplicate columns; NULL and position are encoded so that
     # only genuine collisions need the exact pass.
-    tagged = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in dup_cols]
+    # -0.0 and 0.0 are one value in grouping, so they are one value here.
+    floats = {f.name for f in df.schema if f.dataType.typeName() in ("float", "double")}
+    plain = {c: F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.col(c)) if c in floats else F.col(c) for c in dup_cols}
+    tagged = [F.coalesce(F.concat(F.lit("v"), plain[c].cast("string")), F.lit("n")) for c in dup_cols]
     from strata.session import materialize
     hashed = df.withColumn("__h", F.xxhash64(*tagged))
     # ~16 bytes per distinct row, read three times below: compute it once.
@@ -175,8 +178,8 @@ def fk_split(child: DataFrame, parent: DataFrame, keys: Sequence[str] | Mapping[
     aborts the load); the check is a single ``isEmpty`` probe.
     """
     mapping = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
-    par = parent.select(*[F.col(p).alias(c) for c, p in mapping.items()]).distinct()
-    on = list(mapping)
+    par = parent.select(*[F.col(p).alias(c) for c, p in mapping.items()])
+    on = list(mapping)   # a semi or anti join needs no distinct parent, and stays open to skew splitting
     valid = child.join(par, on=on, how="left_semi")
     orphans = child.join(par, on=on, how="left_anti")
     if strict and not orphans.isEmpty():

@@ -28,7 +28,6 @@ ENDPOINT_TABLES = {"customer_list": "bronze_customers", "deposits": "bronze_depo
 ARRIVAL = {"bronze_customers": ["register_time", "source_file"],
            "bronze_deposits": ["deposit_time", "deposit_amount", "client_id", "deposit_coin", "source_file"]}
 SILVER_TABLES = ("affiliateaccount", "clientaccount", "deposits", "tradeactivities")
-SILVER_SAMPLE = 1000     # rows of each silver table checked after a load
 GOLD_VIEWS = ("gold_affiliate_daily_metrics", "gold_affiliate_monthly_metrics",
               "gold_affiliate_performance", "gold_etl_affiliate_dashboard")
 
@@ -132,7 +131,7 @@ def run_silver(spark: SparkSession, root: str, now=None, strict: bool = False) -
         check_silver(spark, root, name, now)
 
 
-def check_silver(spark: SparkSession, root: str, name: str, now=None, sample: int | None = SILVER_SAMPLE) -> None:
+def check_silver(spark: SparkSession, root: str, name: str, now=None, sample: int | None = None) -> None:
     """Quality row of a silver table: the ``sample`` most recently updated
     rows (key as tiebreak), or the whole table with ``sample=None``."""
     df = silver_table(spark, root, name).read()

@@ -68,7 +68,7 @@ def latest_deposits(bronze_deposits: DataFrame) -> DataFrame:
 def deposits_source(bronze_deposits: DataFrame, now=None) -> DataFrame:
     return latest_deposits(bronze_deposits).select(
         "order_id", "client_id", "deposit_time", "deposit_coin",
-        F.col("deposit_amount").cast("decimal(18,8)").alias("deposit_amount"),
+        F.col("deposit_amount").try_cast("decimal(18,8)").alias("deposit_amount"),
         _stamp(now).alias("last_updated"))
 
 
@@ -81,7 +81,7 @@ def latest_trades(bronze_trades: DataFrame) -> DataFrame:
 def trades_source(bronze_trades: DataFrame, now=None) -> DataFrame:
     return latest_trades(bronze_trades).select(
         "client_id", "trade_time",
-        F.col("trade_volume").cast("decimal(18,8)").alias("trade_volume"),
+        F.col("trade_volume").try_cast("decimal(18,8)").alias("trade_volume"),
         _stamp(now).alias("last_updated"))
 
 

@@ -30,15 +30,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "strata", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    ``master`` defaults to ``local[$STRATA_CPUS or 8]``; on a cluster the
-    launcher's master wins because ``getOrCreate`` reuses the active session.
+    A live session is returned as it is, and a launcher's master and shuffle
+    partitions stand, unless they are passed here.  With neither, the master
+    is ``local[$STRATA_CPUS or 8]`` with as many shuffle partitions.
     """
+    live = SparkSession.getActiveSession()
+    if live is not None and master is None and shuffle_partitions is None and not extra:
+        return live   # its settings are its owner's
+    launched = "SPARK_ENV_LOADED" in os.environ or "spark.master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "") \
+        or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "") or "PYSPARK_GATEWAY_PORT" in os.environ
     cpus = int(os.environ.get("STRATA_CPUS", "8"))
     builder = SparkSession.builder.appName(app_name)
-    builder = builder.master(master or f"local[{cpus}]")
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
-    conf.setdefault("spark.driver.memory", "16g")
+    conf = dict(DEFAULT_CONF) if live is None else {}
+    if master or not (launched or live is not None):
+        builder = builder.master(master or f"local[{cpus}]")
+        conf["spark.sql.shuffle.partitions"] = str(cpus)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if extra:
         conf.update(extra)
     for k, v in conf.items():

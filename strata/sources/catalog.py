@@ -96,8 +96,11 @@ class SnapshotTable:
         return self.spark.read.parquet(self.path(version))
 
     def write(self, df: DataFrame, partition_cols: Sequence[str] = ()) -> int:
-        """Commit ``df`` as the next version; returns its number."""
-        nxt = (self.current_version() or 0) + 1
+        """Commit ``df`` as the next version; returns its number.  A version
+        that a failed write left behind keeps its number and is skipped."""
+        fs, jpath, _ = _fs(self.spark, self.root)
+        names = [st.getPath().getName() for st in fs.listStatus(jpath)] if fs.exists(jpath) else []
+        nxt = max([int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()], default=0) + 1
         w = df.write.mode("errorifexists")
         if partition_cols:
             w = w.partitionBy(*partition_cols)
@@ -158,26 +161,35 @@ class PartitionedTable:
     between partitions: e.g. the month of ``trade_time`` for trades keyed on
     (client_id, trade_time) - a daily load touches one or two months - or a
     hash bucket of the key.  The upsert merges the touched partitions with
-    the batch, stages the result under ``_staging/`` (a complete Spark job),
+    the batch, stages the result beside the table (a complete Spark job),
     then swaps exactly those partitions in with a dynamic partition
     overwrite.  If the swap is interrupted, re-running the same upsert
     reproduces the same partitions (the merge rules are idempotent).
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], part_col: str, part_expr,
-                 schema=None, max_touched: int = 100_000):
+                 schema=None):
         self.spark, self.root, self.keys = spark, root.rstrip("/"), list(keys)
-        self.part_col, self.part_expr, self.schema, self.max_touched = part_col, part_expr, schema, max_touched
+        self.part_col, self.part_expr, self.schema = part_col, part_expr, schema
 
     def exists(self) -> bool:
-        return path_exists(self.spark, self.root + "/_SUCCESS")
+        """Whether the table holds data; an optional marker file says nothing."""
+        return has_data(self.spark, self.root)
+
+    def _current(self) -> DataFrame:
+        """Stored rows with the partition column in its declared type, so
+        that a table of the NULL partition alone reads like any other."""
+        reader = self.spark.read
+        if self.schema is not None:
+            reader = reader.schema(self._with_part(self.spark.createDataFrame([], self.schema)).schema)
+        return reader.parquet(self.root)
 
     def read(self) -> DataFrame:
         if not has_data(self.spark, self.root):
             if self.schema is None:
                 raise FileNotFoundError(self.root)
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.parquet(self.root).drop(self.part_col)
+        return self._current().drop(self.part_col)
 
     def _with_part(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.part_col, self.part_expr())
@@ -188,13 +200,13 @@ class PartitionedTable:
 
     def upsert(self, source: DataFrame, rules=None, now: Column | None = None,
                updated_col: str | None = "last_updated") -> list:
-        """Merge ``source`` into the partitions it touches; returns them."""
+        """Merge ``source`` into the partitions it touches, the NULL partition
+        included; returns their values (one per folder rewritten)."""
         import uuid
 
         from pyspark.sql import functions as F
 
-        from strata.operators.merge import has_at_most
-        if not self.exists() or not has_data(self.spark, self.root):
+        if not self.exists():
             if self.schema is None:
                 stamp = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
                 self.write(source.withColumn(updated_col, stamp) if updated_col else source)
@@ -202,15 +214,19 @@ class PartitionedTable:
                 self.write(merge_upsert(self.read(), source, self.keys, rules, now, updated_col))
             return []
         touched = self._with_part(source.select(*self.keys)).select(self.part_col).distinct()
-        if not has_at_most(touched, self.max_touched):
-            raise ValueError("batch touches too many partitions; coarsen part_expr")
-        # Bounded by max_touched (checked above): the partition values only.
-        values = [r[0] for r in touched.collect()]
-        current = self.spark.read.parquet(self.root)
-        target = current.filter(F.col(self.part_col).isin(values)).drop(self.part_col)
-        merged = self._with_part(merge_upsert(target, source, self.keys, rules, now, updated_col))
-        stage = f"{self.root}/_staging/{uuid.uuid4().hex}"
-        merged.write.partitionBy(self.part_col).parquet(stage)
-        (self.spark.read.parquet(stage).select(*current.columns).write.mode("overwrite")
+        current = self._current()
+        # Touched partitions by a join on the partition column (pruned at run
+        # time); equality never matches NULL, so that partition is added by itself.
+        target = current.join(touched.filter(F.col(self.part_col).isNotNull()), self.part_col, "left_semi")
+        if not touched.filter(F.col(self.part_col).isNull()).isEmpty():
+            target = target.unionByName(current.filter(F.col(self.part_col).isNull()))
+        merged = self._with_part(merge_upsert(target.drop(self.part_col), source, self.keys, rules, now, updated_col))
+        stage = f"{self.root}.__staging/{uuid.uuid4().hex}"
+        merged.write.parquet(stage)
+        staged = self.spark.read.schema(merged.schema).parquet(stage)
+        # One exchange by partition: few files each, and a partition's files are split by size.
+        (staged.select(*current.columns).hint("rebalance", self.part_col).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(self.part_col).parquet(self.root))
-        return values
+        fs, jpath, _ = _fs(self.spark, stage)
+        fs.delete(jpath, True)   # this upsert's own staging folder
+        return [r[0] for r in touched.collect()]

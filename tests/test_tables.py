@@ -120,3 +120,32 @@ def test_streaming_ingest_all_endpoints(spark, tmp_path):
     assert dep.count() == dep.select("order_id").distinct().count()
     assert dep.count() == fx.deposits(spark, SF_SMALL).select("order_id").distinct().count()
     assert spark.read.parquet(root + "/bronze/bronze_trades").count() == fx.table(spark, SF_SMALL, "orders").count()
+
+
+def test_null_partition_rows_survive_and_marker_is_not_needed(spark, tmp_path):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from strata.sources.catalog import PartitionedTable, SnapshotTable
+    schema = "id string, t timestamp_ntz, v int"
+    make = lambda rows: spark.createDataFrame(rows, schema)
+    root = str(tmp_path / "nulls")
+    table = PartitionedTable(spark, root, ["id", "t"], "month", lambda: F.date_trunc("month", F.col("t")).cast("date"),
+                             make([]).schema)
+    table.write(make([("a", T("2024-01-02"), 1), ("n1", None, 1)]))
+    table.upsert(make([("b", T("2024-01-03"), 2), ("n2", None, 2)]), updated_col=None)
+    assert sorted(r.id for r in table.read().collect()) == ["a", "b", "n1", "n2"]
+    os.remove(f"{root}/_SUCCESS")
+    table.upsert(make([("n3", None, 3)]), updated_col=None)
+    assert sorted(r.id for r in table.read().collect()) == ["a", "b", "n1", "n2", "n3"]
+    assert not os.listdir(f"{root}.__staging")
+    snap = SnapshotTable(spark, str(tmp_path / "snap"))
+    os.makedirs(f"{snap.root}/v=00000001/_temporary")     # what a failed write leaves
+    assert snap.write(make([("a", None, 1)])) == 2 and snap.read().count() == 1
+
+
+def test_live_session_keeps_its_settings(spark):
+    from strata.session import get_spark
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert get_spark().conf.get("spark.sql.shuffle.partitions") == before
