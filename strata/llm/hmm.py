@@ -69,12 +69,17 @@ def token_batches(batches):
             words, first, places = np.unique(tokens, return_index=True, return_inverse=True)
             mine = train[at:at + rows]
             counts = np.bincount(places, weights=np.repeat(mine, n), minlength=len(words)).astype(np.int32)
-            small = np.uint16 if len(words) <= 1 << 16 else np.int32
+            # Frequent words first, so that the high bytes of the places are mostly zero.
+            rank = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable")
+            place = np.empty(len(words), dtype=np.int64)
+            place[rank] = np.arange(len(words))
+            words, first, counts = words[rank], first[rank], counts[rank]
             number += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([ids.slice(at, rows).to_pylist()], pa.list_(pa.int64())),
                  pa.array([mine.tolist()], pa.list_(pa.bool_())), pa.array([n.tolist()], pa.list_(pa.int32())),
-                 *[pa.array([x.tobytes()], pa.binary()) for x in (places.astype(small), words, ending[first], counts)]],
+                 pa.array([pack(place[places])], pa.binary()),
+                 *[pa.array([x.tobytes()], pa.binary()) for x in (words, ending[first], counts)]],
                 names=["block", "doc_id", "train", "n", "ids", "words", "endings", "counts"])
 
 
@@ -85,8 +90,20 @@ def blocks_of(batches):
             yield batch.slice(i, 1).to_pylist()[0]
 
 
+def pack(places: np.ndarray) -> bytes:
+    """Numbers below 2**16 as two bytes each; larger ones as their low two bytes, then their high two."""
+    low = places.astype(np.uint16).tobytes()
+    high = (places >> 16).astype(np.uint16)
+    return low + (high.tobytes() if high.any() else b"")
+
+
+def unpack(body: bytes, n: int) -> np.ndarray:
+    low = np.frombuffer(body, dtype=np.uint16, count=n).astype(np.int64)
+    return low if len(body) == 2 * n else low + (np.frombuffer(body, dtype=np.uint16, offset=2 * n).astype(np.int64) << 16)
+
+
 def places_of(r: dict, n: np.ndarray) -> np.ndarray:
-    return np.frombuffer(r["ids"], dtype=np.uint16 if len(r["ids"]) == 2 * n.sum() else np.int32)
+    return unpack(r["ids"], int(n.sum()))
 
 
 def word_batches(batches):

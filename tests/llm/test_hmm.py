@@ -83,3 +83,9 @@ def test_rounds_raise_the_likelihood_and_stay_distributions(monkeypatch):
         now = hmm.forward(model, seq, n).sum()
         assert now > last - 0.5   # one pseudo-count of start and move
         last = now
+
+
+def test_places_round_trip():
+    for top in (1, 1 << 16, 1 << 20):
+        places = np.random.default_rng(top).integers(0, top, 1000)
+        assert (hmm.unpack(hmm.pack(places), 1000) == places).all()
