@@ -8,10 +8,13 @@ falls below ``MISS``.  Survivors are verified exactly on their full sets.
 
 Within a band bucket, pairs are not listed: a survivor is emitted only if
 it joins two groups that are not joined yet, so a bucket emits fewer pairs
-than it has members.  If exact verification refutes an emitted pair, the
-buckets concerned are gone through again without the refuted pairs, with
-ever more pairs at a time, until no bucket has an unverified survivor
-between two components.  Large buckets are compared block against block.
+than it has members, and the texts of emitted pairs are joined and compared.
+Where that refutes a pair, the buckets concerned are gone through once more:
+their members that still have a survivor in another component bring their
+texts along, each pair is verified in the task of its lowest shared band, and
+only links that join two groups leave the task.  So pairs just below the
+threshold, however many, are compared but never become rows.  Large buckets
+are compared block against block.
 """
 
 from __future__ import annotations
@@ -31,8 +34,8 @@ from strata.llm.tables import materialize, stored
 BANDS, ROWS = 25, 5     # a pair at similarity 0.8 shares no band with probability 5e-5, at 0.85 4e-7
 MISS = 1e-6             # chosen probability of pruning a pair that reaches the threshold
 BATCH = 25              # signature positions compared at a time
-BLOCK = 1024            # members of a bucket that are compared in one task
-MORE = 8                # factor by which rounds raise the pairs emitted per member
+BLOCK = 1024            # members of a bucket that are compared in one task with as many others
+BLOCK_SHINGLES = 2**20  # and the shingles that they have together
 BROADCAST_IDS = 1_000_000
 
 _rng = np.random.default_rng(31)
@@ -74,7 +77,7 @@ def signature_batches(size: int):
                 classes.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 key = number + np.uint64(1)
                 for r in range(ROWS):
-                    key = kernels.mix(key * np.uint64(3) + m[r::ROWS])
+                    key = kernels.mix(key * np.uint64(3) + (m[r::ROWS] & np.uint64(255)))   # as in the signature
                 bands.append(key.view(np.int64))
                 sigs.append(m.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
@@ -102,14 +105,15 @@ def least_matches(percent: int) -> list[int]:
 class Bucket:
     """The members of one bucket task."""
 
-    def __init__(self, ids, n, sig, side, component, refuted, percent):
+    def __init__(self, ids, n, sig, side, component, percent, band=None):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.n, self.sig, self.side = ids[order], n[order], sig[order], side[order]
+        self.order, self.ids, self.n, self.sig, self.side = order, ids[order], n[order], sig[order], side[order]
         self.group = np.unique(component[order], return_inverse=True)[1]
-        self.refuted, self.percent, self.need = refuted, percent, least_matches(percent)
+        self.percent, self.need, self.band = percent, least_matches(percent), band
 
     def survivors(self, i: int) -> np.ndarray:
-        """Later members of other groups whose signature may reach the threshold with member ``i``."""
+        """Later members of other groups whose signature may reach the threshold with
+        member ``i``; with a ``band`` only those that share no lower one with it."""
         n, m = self.n[i + 1:], self.n[i]
         fit = (self.group[i + 1:] != self.group[i]) & (n * 100 >= m * self.percent) & (m * 100 >= n * self.percent)
         if self.side.any():
@@ -122,51 +126,57 @@ class Bucket:
             cut = slice(k * BATCH, (k + 1) * BATCH)
             equal += (self.sig[at, cut] == self.sig[i, cut]).sum(axis=1)
             at, equal = at[equal >= need], equal[equal >= need]
-        if self.refuted:
-            at = np.array([j for j in at if (self.ids[i], self.ids[j]) not in self.refuted], dtype=np.int64)
+        if self.band is not None and len(at):
+            shared = (self.sig[at] == self.sig[i]).reshape(-1, BANDS, ROWS).all(axis=2)
+            at = at[shared.argmax(axis=1) == self.band]
         return at
 
-    def pairs(self, most: int) -> tuple[list[tuple[int, int]], bool]:
-        """Pairs to verify and whether others were left for a later round."""
-        out, left, given = [], False, np.zeros(len(self.ids), dtype=np.int64)
+    def join(self, i: int, at: np.ndarray) -> list[tuple[int, int]]:
+        """One pair for each group of ``at``; these groups become that of ``i``."""
+        groups, first = np.unique(self.group[at], return_index=True)
+        pairs = [(self.ids[i], self.ids[j]) for j in at[first]]
+        self.group[np.isin(self.group, groups)] = self.group[i]
+        return pairs
+
+    def pairs(self) -> list[tuple[int, int]]:
+        """Pairs to verify; were all of them links, no survivor would be left between two groups."""
+        out = []
+        for i in range(len(self.ids) - 1):
+            out += self.join(i, self.survivors(i))
+        return out
+
+    def needed(self) -> np.ndarray:
+        """The members, as given, that have a survivor."""
+        mark = np.zeros(len(self.ids), dtype=bool)
         for i in range(len(self.ids) - 1):
             at = self.survivors(i)
-            if not len(at):
-                continue
-            if most == 1:   # one pair joins two groups
-                groups, first = np.unique(self.group[at], return_index=True)
-                out += [(self.ids[i], self.ids[j]) for j in at[first]]
-                self.group[np.isin(self.group, groups)] = self.group[i]
-            else:
-                left |= bool((given[at] >= most).any())
-                at = at[given[at] < most]
-                given[at] += 1
-                out += [(self.ids[i], self.ids[j]) for j in at]
-        return out, left
-
-
-def bucket_batches(percent: int, most: int):
-    """Rows sorted by task: members (``b`` null) and refuted pairs; out come the pairs to verify."""
-    def of(rows: pa.Table) -> pa.RecordBatch:
-        task = rows["task"].to_numpy()
-        cut = np.flatnonzero(np.concatenate([[True], task[1:] != task[:-1], [True]])) if len(task) else [0]
-        a = rows["a"].to_numpy()
-        member = rows["b"].is_null().to_numpy()
-        b = rows["b"].fill_null(0).to_numpy()
-        n, side, comp = (rows[c].fill_null(0).to_numpy() for c in ("n", "side", "component"))
-        blank = b"\0" * (BANDS * ROWS)
-        sig = np.frombuffer(b"".join(x or blank for x in rows["sig"].to_pylist()), dtype=np.uint8).reshape(-1, BANDS * ROWS)
+            mark[at] = True
+            mark[i] |= len(at) > 0
+        return np.sort(self.order[mark])
+
+    def links(self, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        """Verified links that join two groups; ``sets`` are the members' shingles, as given."""
+        sets = [sets[k] for k in self.order]
+        size = np.array([len(x) for x in sets], dtype=np.int64)
+        token = np.unique(np.concatenate(sets), return_inverse=True)[1] if len(sets) else np.zeros(0, dtype=np.int64)
+        end = size.cumsum()
+        mark = np.zeros(token.max() + 1 if len(token) else 0, dtype=bool)
         out = []
-        for s, e in zip(cut[:-1], cut[1:]):
-            at = s + np.flatnonzero(member[s:e])
-            no = s + np.flatnonzero(~member[s:e])
-            bucket = Bucket(a[at], n[at], sig[at], side[at], comp[at], set(zip(a[no], b[no])), percent)
-            found, left = bucket.pairs(most)
-            out += [(task[s], x, y, left) for x, y in found]
-        cols = list(zip(*out)) if out else [[], [], [], []]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.bool_()))],
-                                          names=["task", "a", "b", "left"])
+        for i in range(len(sets) - 1):
+            at = self.survivors(i)
+            at = at[size[at] > 0]
+            if not len(at) or not size[i]:
+                continue
+            mine = token[end[i] - size[i]:end[i]]
+            mark[mine] = True
+            both = np.array([np.count_nonzero(mark[token[end[j] - size[j]:end[j]]]) for j in at])
+            mark[mine] = False
+            out += self.join(i, at[100 * both >= self.percent * (size[i] + size[at] - both)])
+        return out
+
 
+def by_task(of):
+    """``of`` for the rows of whole tasks, from batches that are sorted by task."""
     def run(batches):
         held = None
         for batch in batches:
@@ -184,6 +194,46 @@ def bucket_batches(percent: int, most: int):
     return run
 
 
+def buckets_of(rows: pa.Table, percent: int, banded: bool):
+    """Each task's rows (from, to) and its ``Bucket``."""
+    task = rows["task"].to_numpy()
+    cut = np.flatnonzero(np.concatenate([[True], task[1:] != task[:-1], [True]])) if len(task) else [0]
+    a, n, side, comp, band = (rows[c].to_numpy() for c in ("a", "n", "side", "component", "band"))
+    for s, e in zip(cut[:-1], cut[1:]):
+        sig = np.frombuffer(b"".join(rows["sig"].slice(s, e - s).to_pylist()), dtype=np.uint8).reshape(-1, BANDS * ROWS)
+        yield s, e, Bucket(a[s:e], n[s:e], sig, side[s:e], comp[s:e], percent, band[s] if banded else None)
+
+
+def pair_batch(out: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    cols = list(zip(*out)) if out else [[], [], []]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["task", "a", "b"])
+
+
+def emit_batches(percent: int):
+    def of(rows: pa.Table) -> pa.RecordBatch:
+        task = rows["task"].to_numpy()
+        return pair_batch([(task[s], a, b) for s, _, bucket in buckets_of(rows, percent, False) for a, b in bucket.pairs()])
+    return by_task(of)
+
+
+def needed_batches(percent: int):
+    def of(rows: pa.Table) -> pa.RecordBatch:
+        keep = [s + bucket.needed() for s, _, bucket in buckets_of(rows, percent, True)]
+        return rows.take(pa.array(np.concatenate(keep) if keep else [], pa.int64())).combine_chunks().to_batches()[0] \
+            if any(map(len, keep)) else pa.RecordBatch.from_pylist([], schema=rows.schema)
+    return by_task(of)
+
+
+def link_batches(size: int, percent: int):
+    def of(rows: pa.Table) -> pa.RecordBatch:
+        task, out = rows["task"].to_numpy(), []
+        for s, e, bucket in buckets_of(rows, percent, True):
+            texts = rows["text"].slice(s, e - s).combine_chunks()
+            out += [(task[s], a, b) for a, b in bucket.links(list(shingle_sets(texts, size)))]
+        return pair_batch(out)
+    return by_task(of)
+
+
 def verify_batches(size: int, percent: int):
     def run(batches):
         for batch in batches:
@@ -206,21 +256,55 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
     return materialize(checked.groupBy("a", "b").agg(F.bool_or("ok").alias("ok")))
 
 
+MEMBERS = "task long, band int, a long, n long, sig binary, side int, component long"
+PAIRS = "task long, a long, b long"
+
+
 def bucket_tasks(reps: DataFrame) -> DataFrame:
-    """``task, a, b (null), n, sig, side``: the members of each different bucket, large ones in pairs of blocks."""
-    banded = reps.select("rep", F.explode("bands").alias("key"))
+    """``task, band, a, n, sig, side``: the members of each different bucket, large ones in
+    pairs of blocks.  Of buckets with the same members, that of the lowest band stays."""
+    banded = reps.select("rep", "n_shingles", F.posexplode("bands").alias("band", "key"))
     buckets = (banded.groupBy("key").agg(F.count("*").alias("members"), F.min("rep").alias("lo"), F.max("rep").alias("hi"),
-                                         F.bit_xor(F.xxhash64("rep")).alias("x"))
-               .filter("lo < hi").groupBy("members", "lo", "hi", "x").agg(F.min("key").alias("key"))
-               .select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
-    members = banded.join(buckets, "key").join(reps.select("rep", "n_shingles", "sig"), "rep")
+                                         F.bit_xor(F.xxhash64("rep")).alias("x"), F.min("band").alias("band"),
+                                         F.sum("n_shingles").alias("shingles"))
+               .filter("lo < hi").groupBy("members", "lo", "hi", "x")
+               .agg(F.min_by("key", F.struct("band", "key")).alias("key"), F.max("shingles").alias("shingles"))
+               .select("key", F.ceil(F.greatest(F.col("members") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
+    members = (banded.select("rep", "band", "key").join(buckets, "key")
+               .join(reps.select("rep", "n_shingles", "sig"), "rep"))
     block = F.pmod(F.xxhash64("rep", F.lit(11)), F.col("blocks")).cast("int")
     return (members.withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-            .select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("task"),
-                    F.col("rep").alias("a"), F.lit(None).cast("long").alias("b"), F.col("n_shingles").alias("n"), "sig",
+            .select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("task"), "band",
+                    F.col("rep").alias("a"), F.col("n_shingles").alias("n"), "sig",
                     (F.col("block") > F.col("other")).cast("int").alias("side")))
 
 
+def dealt(members: DataFrame) -> DataFrame:
+    """Each task's rows together, by a hash of the task."""
+    return members.repartition(F.xxhash64("task")).sortWithinPartitions("task")
+
+
+def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """``node, component`` of linked representatives that are not the least of theirs; None without links."""
+    tasks = stored(bucket_tasks(reps), "buckets")
+    emitted = materialize(dealt(tasks.withColumn("component", F.col("a"))).select("task", "band", "a", "n", "sig", "side", "component")
+                          .mapInArrow(emit_batches(percent), PAIRS))
+    new = materialize(emitted.select("a", "b").distinct())
+    if new.isEmpty():
+        return None
+    checked = verified(new, docs, size, percent)
+    links = checked.filter("ok").select("a", "b")
+    labels = components(links)
+    refuted = emitted.join(checked.filter("not ok"), ["a", "b"]).select("task").distinct()
+    members = (tasks.join(refuted, "task", "left_semi").join(labels, F.col("a") == labels.node, "left")
+               .withColumn("component", F.coalesce("component", "a")))
+    needed = stored(dealt(members.select("task", "band", "a", "n", "sig", "side", "component"))
+                    .mapInArrow(needed_batches(percent), MEMBERS), "undecided")
+    texts = docs.join(needed.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), "text")
+    late = materialize(dealt(needed.join(texts, "a")).mapInArrow(link_batches(size, percent), PAIRS).select("a", "b").distinct())
+    return labels if late.isEmpty() else components(links.unionByName(late))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``.
 
@@ -237,35 +321,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, text: str
     reps = stored(signed.filter("class is not null and doc_id is not null")
                   .groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
                                         F.first("bands").alias("bands"), F.first("sig").alias("sig")), "classes")
-    tasks = stored(bucket_tasks(reps), "buckets")
-    dirty, refuted, links, labels, most = None, None, None, None, 1
-    while True:
-        members = tasks if dirty is None else tasks.join(dirty, "task", "left_semi")
-        if labels is not None:
-            members = (members.join(labels, members.a == labels.node, "left")
-                       .withColumn("component", F.coalesce("component", "a")).drop("node"))
-        else:
-            members = members.withColumn("component", F.col("a"))
-        if refuted is not None:
-            members = members.unionByName(refuted.join(dirty, "task", "left_semi"), allowMissingColumns=True)
-        # Dealt by a hash of the task: the parts of the union may be dealt by the task already, but not alike.
-        emitted = materialize(members.repartition(F.xxhash64("task")).sortWithinPartitions("task")
-                              .select("task", "a", "b", "n", "sig", "side", "component")
-                              .mapInArrow(bucket_batches(percent, most), "task long, a long, b long, left boolean"))
-        new = materialize(emitted.select("a", "b").distinct())
-        if new.isEmpty():
-            break
-        checked = verified(new, docs, size, percent)
-        good = checked.filter("ok").select("a", "b")
-        links = good if links is None else links.unionByName(good)
-        judged = emitted.join(checked, ["a", "b"])
-        wrong = materialize(judged.filter("not ok").select("task", "a", "b"))
-        dirty = materialize(judged.filter("not ok or left").select("task").distinct())
-        labels = components(links)
-        if dirty.isEmpty():
-            break
-        refuted = wrong if refuted is None else refuted.unionByName(wrong)
-        most *= MORE
+    labels = linked(reps, docs, size, percent)
     ids = reps.select("class", "rep")
     if labels is not None:
         ids = ids.join(labels, ids.rep == labels.node, "left").select("class", F.coalesce("component", "rep").alias("rep"))

@@ -76,9 +76,17 @@ def test_components_of_chains_and_stars(spark):
     assert out == {**{k: 0 for k in range(1, 21)}, **{k: 100 for k in range(101, 140)}, 301: 300}
 
 
+def joined(m, pairs):
+    root = list(range(m))
+    for a, b in pairs:
+        old, new = root[b], root[a]
+        root = [new if r == old else r for r in root]
+    return root
+
+
 @settings(max_examples=60, deadline=None)
-@given(st.integers(2, 25), st.integers(0, 2**32), st.sampled_from([1, 8]))
-def test_bucket_leaves_no_survivor_between_groups(m, seed, most):
+@given(st.integers(2, 25), st.integers(0, 2**32))
+def test_bucket_leaves_no_survivor_between_groups(m, seed):
     rng = np.random.default_rng(seed)
     sig = rng.integers(0, 2, (m, near_dedup.BANDS * near_dedup.ROWS)).astype(np.uint8)
     for i in range(1, m):
@@ -86,18 +94,49 @@ def test_bucket_leaves_no_survivor_between_groups(m, seed, most):
             j = rng.integers(0, i)
             same = rng.random(sig.shape[1]) < 0.9
             sig[i, same] = sig[j, same]
-    make = lambda refuted: near_dedup.Bucket(np.arange(m), np.full(m, 50), sig, np.zeros(m, int), np.arange(m), refuted, 85)
-    every = {(i, int(j)) for i in range(m) for j in make(set()).survivors(i)}
-    pairs, left = make(set()).pairs(most)
+    make = lambda band=None: near_dedup.Bucket(np.arange(m), np.full(m, 50), sig, np.zeros(m, int), np.arange(m), 85, band)
+    every = {(i, int(j)) for i in range(m) for j in make().survivors(i)}
+    pairs = make().pairs()
     assert {(int(a), int(b)) for a, b in pairs} <= every
-    if most == 1:
-        root = list(range(m))
-        for a, b in pairs:
-            old, new = root[b], root[a]
-            root = [new if r == old else r for r in root]
-        assert len(pairs) < m and all(root[a] == root[b] for a, b in every)
-    elif not left:
-        assert {(int(a), int(b)) for a, b in pairs} == every
+    root = joined(m, pairs)
+    assert len(pairs) < m and all(root[a] == root[b] for a, b in every)
+    # Each pair that shares a band belongs to one band's task.
+    bands = [{(i, int(j)) for i in range(m) for j in make(b).survivors(i)} for b in range(near_dedup.BANDS)]
+    share = {(i, j) for i, j in every if (sig[i] == sig[j]).reshape(-1, near_dedup.ROWS).all(axis=1).any()}
+    assert sorted(share) == sorted(p for b in bands for p in b if p in share)
+    assert set(make(0).needed()) == {x for p in bands[0] for x in p}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 25), st.integers(0, 2**32))
+def test_links_within_a_bucket_against_brute_force(m, seed):
+    rng = np.random.default_rng(seed)
+    sets = [np.sort(rng.choice(60, rng.integers(40, 60), replace=False)).astype(np.uint64) for _ in range(m)]
+    order = rng.permutation(m)
+    sig = np.zeros((m, near_dedup.BANDS * near_dedup.ROWS), np.uint8)
+    n = np.array([len(x) for x in sets], dtype=np.int64)
+    bucket = near_dedup.Bucket(order, n, sig, np.zeros(m, int), order.copy(), 75, 0)
+    links = bucket.links(sets)
+    ok = {tuple(sorted((order[i], order[j]))) for i in range(m) for j in range(i)
+          if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))}
+    assert {(int(a), int(b)) for a, b in links} <= {(int(a), int(b)) for a, b in ok}
+    root = joined(m, links)
+    want = joined(m, ok)
+    assert [root.index(r) for r in root] == [want.index(r) for r in want]
+
+
+def test_many_pairs_just_below_the_threshold(docs_of, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(6))
+    base = [word() for _ in range(200)]
+    rows = []
+    for k in range(120):
+        w = list(base)
+        for _ in range(rng.randrange(2, 6)):
+            w[rng.randrange(len(w))] = word()
+        rows.append((k, " ".join(w)))
+    assert got(near_dedup.near_duplicates(docs_of(rows), 5, 80)) == brute(rows, 5, 80)
 
 
 def test_pruning_keeps_pairs_at_the_threshold():
