@@ -245,11 +245,16 @@ def verify_batches(size: int, percent: int):
     return run
 
 
+def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one of ``ids``.  Up to ``BROADCAST_IDS`` ids go to the
+    documents, so that only their texts are shuffled; more are joined by a shuffle."""
+    ids = materialize(ids.distinct())
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``a, b, ok`` of distinct pairs, by the exact similarity of their full sets."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    ids = materialize(ids)
-    texts = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    texts = texts_of(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))), docs)
     both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"))
     checked = both.select("a", "b", "text_a", "text_b").mapInArrow(verify_batches(size, percent), "a long, b long, ok boolean")
@@ -300,7 +305,7 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
                .withColumn("component", F.coalesce("component", "a")))
     needed = stored(dealt(members.select("task", "band", "a", "n", "sig", "side", "component"))
                     .mapInArrow(needed_batches(percent), MEMBERS), "undecided")
-    texts = docs.join(needed.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), "text")
+    texts = texts_of(needed.select(F.col("a").alias("doc_id")), docs).select(F.col("doc_id").alias("a"), "text")
     late = materialize(dealt(needed.join(texts, "a")).mapInArrow(link_batches(size, percent), PAIRS).select("a", "b").distinct())
     return labels if late.isEmpty() else components(links.unionByName(late))
 
