@@ -159,6 +159,12 @@ def run_gold(spark: SparkSession, root: str, as_of) -> None:
         gold.gold_etl_dashboard(bc, s["clientaccount"], written_daily, s["affiliateaccount"], as_of))
 
 
+def register_views(spark: SparkSession, root: str) -> None:
+    """Make the materialised gold views readable by name in this session's SQL."""
+    for name in GOLD_VIEWS:
+        SnapshotTable(spark, f"{root}/gold/{name}").read().createOrReplaceTempView(name)
+
+
 def run_all(spark: SparkSession, landing: str, root: str, as_of, *, days_back=None, now=None,
             dt_unit: str = "day") -> None:
     run_bronze(spark, landing, root, as_of=as_of, days_back=days_back, load_time=now, dt_unit=dt_unit)
@@ -224,4 +230,5 @@ def q_run_all_layers(spark: SparkSession, sf: str) -> DataFrame:
         pages.write_landing(getattr(fx, name)(spark, sf, lineage=False), landing, endpoint,
                             request_time=fx.LOAD_TIME, dt_unit="year")
     run_all(spark, landing, root, fx.AS_OF, now=fx.LOAD_TIME, dt_unit="year")
+    register_views(spark, root)
     return table_counts(spark, root)

@@ -510,6 +510,9 @@ def oracle() -> dict[str, str]:
                                  "monthly_activation_rate, avg_trade_size FROM gp WHERE affiliate_name IS NOT NULL "
                                  "ORDER BY trading_volume_30d DESC NULLS FIRST, affiliate_name ASC, new_signups_30d DESC, "
                                  "monthly_activation_rate DESC, avg_trade_size DESC LIMIT 10"),
+        "view_top_affiliates": gold_q("SELECT affiliate_name, new_signups_30d, trading_volume_30d FROM gp "
+                                      "WHERE affiliate_name IS NOT NULL "
+                                      "ORDER BY trading_volume_30d DESC NULLS FIRST, affiliate_name LIMIT 10"),
         "report_etl_issues": gold_q("SELECT affiliate_name AS data_source, last_updated AS last_load_time, error_count, "
                                     "partial_count FROM ge WHERE affiliate_name IS NOT NULL"),
         "report_affiliate_metrics": gold_q("SELECT DISTINCT affiliate_name, total_customers, new_signups_30d, "

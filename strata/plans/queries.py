@@ -406,6 +406,14 @@ def q_gold_performance(spark, sf): return Layers(spark, sf).performance()
 def q_gold_etl_dashboard(spark, sf): return Layers(spark, sf).dashboard()
 def q_report_etl_status(spark, sf): return reports.report_etl_status(Layers(spark, sf).dashboard())
 def q_top_affiliates(spark, sf): return reports.top_affiliates(Layers(spark, sf).performance(), 10)
+def q_view_top_affiliates(spark, sf):
+    """The top affiliates, selected in SQL from the performance view by its name."""
+    Layers(spark, sf).performance().createOrReplaceTempView("gold_affiliate_performance")
+    return spark.sql("""
+        SELECT affiliate_name, new_signups_30d, trading_volume_30d FROM gold_affiliate_performance
+        WHERE affiliate_name IS NOT NULL ORDER BY trading_volume_30d DESC NULLS FIRST, affiliate_name LIMIT 10""")
+
+
 def q_report_etl_issues(spark, sf): return reports.report_etl_issues(Layers(spark, sf).dashboard())
 
 
@@ -566,6 +574,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_etl_dashboard": q_gold_etl_dashboard,
         "report_etl_status": q_report_etl_status,
         "top_affiliates": q_top_affiliates,
+        "view_top_affiliates": q_view_top_affiliates,
         "report_etl_issues": q_report_etl_issues,
         "report_affiliate_metrics": q_report_affiliate_metrics,
         "dq_null_pct": q_dq_null_pct,

@@ -17,7 +17,8 @@ from strata.functions.expr import as_column, ts_literal
 def report_etl_status(dashboard: DataFrame) -> DataFrame:
     return dashboard.select(
         F.col("affiliate_name").alias("data_source"), F.col("last_updated").alias("last_load_time"),
-        "etl_status", "total_records", "success_count", "error_count", "partial_count").distinct()
+        "etl_status", "total_records", "success_count", "error_count", "partial_count").distinct() \
+        .orderBy(F.col("data_source").asc_nulls_last())
 
 
 def top_affiliates(performance: DataFrame, limit: int = 10) -> DataFrame:

@@ -47,7 +47,7 @@ def duck():
 
 FAST = ["silver_trades", "upsert_customers", "gold_daily", "gold_monthly", "gold_performance", "gold_etl_dashboard",
         "top_affiliates", "dq_report", "validate_records", "check_constraints", "bronze_insert_ignore",
-        "load_summary", "scan_assets"]
+        "load_summary", "scan_assets", "view_top_affiliates", "report_etl_status"]
 
 
 @pytest.mark.parametrize("name", FAST)
