@@ -149,3 +149,12 @@ def test_live_session_keeps_its_settings(spark):
     from strata.session import get_spark
     before = spark.conf.get("spark.sql.shuffle.partitions")
     assert get_spark().conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_gold_views_are_readable_by_name(spark, tmp_path):
+    from strata.plans import jobs
+    from strata.sources.catalog import SnapshotTable
+    for i, name in enumerate(jobs.GOLD_VIEWS):
+        SnapshotTable(spark, f"{tmp_path}/gold/{name}").write(spark.range(i))
+    jobs.register_views(spark, str(tmp_path))
+    assert [spark.sql(f"SELECT count(*) FROM {name}").first()[0] for name in jobs.GOLD_VIEWS] == [0, 1, 2, 3]
