@@ -7,7 +7,6 @@ Counted as part of ``strata.llm``.  ``STAGES`` names the stages in order;
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.llm import decontaminate, mixing, near_dedup, quality, sharding
 from strata.llm.tables import read, stored
@@ -31,9 +30,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the curriculum takes it: none, one or two whole copies."""
-    copies = mixing.mix_sources(docs).select("doc_id", F.size("copies").alias("__copies"))
-    return (docs.join(copies.filter("__copies > 0"), "doc_id")
-            .withColumn("__copy", F.explode(F.expr("sequence(1, __copies)"))).select(docs.columns))
+    return mixing.mixed_documents(docs)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

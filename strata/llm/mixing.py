@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.tables import materialize, word_count
+from strata.llm.tables import materialize, stored, word_count
 
 # Source weights in code point order, repeating; the share of all words to take; most repeats.
 WEIGHTS = [5, 2, 1]
@@ -86,7 +86,8 @@ def demand_time(done, kind, schedules=SCHEDULES):
 
 
 def mix_sources(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source",
-                weights=WEIGHTS, share: float = SHARE, most: int = MOST_REPEATS, schedules=SCHEDULES) -> DataFrame:
+                weights=WEIGHTS, share: float = SHARE, most: int = MOST_REPEATS, schedules=SCHEDULES,
+                key: str | None = None) -> DataFrame:
     """One row per input row: ``doc_id, source, size, source_size, target, taken, copies, position``.
 
     ``size`` counts words (null text: 0).  A source's words are laid out in
@@ -98,8 +99,11 @@ def mix_sources(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sou
     null source is a source of its own, last in order.  Rows that repeat an
     id are separate documents.  Documents without words take nothing and
     are placed where they stand.  An empty table gives an empty result.
+    ``key`` names a column that tells all rows apart; it is returned as well, as ``key``.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
+    keys = [F.col(key).alias("key")] if key else []
+    rows = docs.select(*keys, F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
+    keys = ["key"] if key else []
     rows = materialize(rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(BUCKETS)).cast("int")))
     parts = materialize(rows.groupBy("source", "bucket").agg(F.sum("size").alias("part_size")))
     totals = parts.groupBy("source").agg(F.sum("part_size").alias("source_size"))
@@ -109,10 +113,10 @@ def mix_sources(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sou
     parts = (parts.withColumn("part_before", F.coalesce(F.sum("part_size").over(upto), F.lit(0))).alias("p")
              .join(targets.alias("t"), F.expr("p.source <=> t.source"))
              .select("p.source", "bucket", "part_before", "source_size", "target", "kind"))
-    order = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("doc_id"), "doc_id", "size")
+    order = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("doc_id"), "doc_id", "size", *keys)
     placed = (rows.withColumn("within", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
               .alias("r").join(parts.alias("s"), F.expr("r.source <=> s.source and r.bucket = s.bucket"))
-              .select("doc_id", "r.source", "size", "source_size", "target", "kind",
+              .select(*keys, "doc_id", "r.source", "size", "source_size", "target", "kind",
                       (F.col("part_before") + F.col("within")).alias("at")))
     limit = F.round("target").cast("long")
     starts = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda k: F.col("at") + k * F.col("source_size"))
@@ -121,7 +125,7 @@ def mix_sources(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sou
     half = F.filter(starts, lambda x: 2 * x + F.col("size") <= 2 * F.col("limit"))
     share_done = lambda x: F.when(F.col("target") > 0, F.least(x / F.col("target"), F.lit(1.0))).otherwise(F.lit(0.0))
     return (placed.withColumn("limit", limit)
-            .select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"),
+            .select(*keys, "doc_id", "source", "size", "source_size", "target", taken.alias("taken"),
                     F.transform(half, lambda x: demand_time(share_done(x), F.col("kind"), schedules)).alias("copies"),
                     demand_time(share_done(F.col("at")), F.col("kind"), schedules).alias("position")))
 
@@ -130,3 +134,15 @@ def training_order(mixed: DataFrame) -> DataFrame:
     """``(doc_id, copy, position)`` for every copy taken, range-sorted by training position."""
     return (mixed.select("doc_id", F.posexplode("copies").alias("copy", "position"))
             .orderBy("position", "doc_id", "copy"))
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it whole.
+
+    Rows are told apart by a key written with them, not by ``doc_id``: null
+    and repeated ids are documents like any other.
+    """
+    keyed = stored(docs.select(F.monotonically_increasing_id().alias("key"), F.struct("*").alias("row")), "mixing-rows")
+    mixed = mix_sources(keyed.select("key", "row.doc_id", "row.text", "row.source"), key="key")
+    return (keyed.join(mixed.filter(F.size("copies") > 0).select("key", "copies"), "key")
+            .select("row", F.explode("copies")).select("row.*"))

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import corpus_pipeline as P
 from pyspark.sql import functions as F
 
@@ -38,3 +40,13 @@ def test_stages_take_empty_and_extra_columns(spark, docs_of):
         if name != "sharding":
             assert out.columns == docs.columns
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_mixing_takes_rows_not_ids(spark, docs_of):
+    rows = [(None, "a b c", "s"), (None, "d e f", "s")] + [(7, f"same id {k}", "s") for k in range(5)] + [(8, "g h i", "s")]
+    docs = docs_of(rows)
+    want = sorted(len(r.copies) for r in mixing.mix_sources(docs).collect())
+    out = P.mixing_stage(spark, docs, SF).collect()
+    got = Counter(r.text for r in out)
+    assert len(out) == sum(want) and sorted(got[t] for _, t, _ in rows) == want
+    assert {(r.doc_id, r.text) for r in out} <= {(i, t) for i, t, _ in rows} and max(want) == 2
