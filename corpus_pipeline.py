@@ -29,7 +29,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the curriculum takes it: none, one or two whole copies."""
+    """Every document as often as the curriculum takes it (none, one or two whole copies), in training order."""
     return mixing.mixed_documents(docs)
 
 

@@ -130,19 +130,19 @@ def mix_sources(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sou
                     demand_time(share_done(F.col("at")), F.col("kind"), schedules).alias("position")))
 
 
-def training_order(mixed: DataFrame) -> DataFrame:
-    """``(doc_id, copy, position)`` for every copy taken, range-sorted by training position."""
-    return (mixed.select("doc_id", F.posexplode("copies").alias("copy", "position"))
+def training_order(mixed: DataFrame, *carried: str) -> DataFrame:
+    """``(doc_id, copy, position)`` and the columns ``carried`` for every copy taken, range-sorted by training position."""
+    return (mixed.select("doc_id", *carried, F.posexplode("copies").alias("copy", "position"))
             .orderBy("position", "doc_id", "copy"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it whole.
+    """The rows of ``docs``, each as often as the mix takes it whole, in training order.
 
     Rows are told apart by a key written with them, not by ``doc_id``: null
     and repeated ids are documents like any other.
     """
     keyed = stored(docs.select(F.monotonically_increasing_id().alias("key"), F.struct("*").alias("row")), "mixing-rows")
     mixed = mix_sources(keyed.select("key", "row.doc_id", "row.text", "row.source"), key="key")
-    return (keyed.join(mixed.filter(F.size("copies") > 0).select("key", "copies"), "key")
-            .select("row", F.explode("copies")).select("row.*"))
+    taken = keyed.join(mixed.filter(F.size("copies") > 0).select("key", "doc_id", "copies"), "key")
+    return training_order(taken, "row").select("row.*")

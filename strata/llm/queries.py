@@ -24,7 +24,8 @@ def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(read(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
+    return (mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "position")
+            .orderBy("position", "doc_id"))
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,3 +82,11 @@ def test_training_order_follows_the_schedule(docs_of):
     assert [r.position for r in order] == sorted(r.position for r in order)
     lead = [r.doc_id % 3 for r in order[:len(order) // 4]]
     assert lead.count(0) / len(lead) > [r.doc_id % 3 for r in order].count(0) / len(order)
+
+
+def test_query_is_sorted_and_lists_all_copies(spark):
+    out = queries.op3_mix_sources(spark, SF).collect()
+    assert [r.position for r in out] == sorted(r.position for r in out)
+    want = {r.doc_id: r.copies for r in mixing.mix_sources(read(spark, SF, "documents")).collect()}
+    assert {r.doc_id: r.copies for r in out} == want and any(len(c) == 2 for c in want.values())
+    assert all(r.copies[0] == r.position and r.copies == sorted(r.copies) for r in out if r.copies)

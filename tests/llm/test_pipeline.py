@@ -4,7 +4,7 @@ import corpus_pipeline as P
 from pyspark.sql import functions as F
 
 from strata.llm import decontaminate, mixing, near_dedup
-from strata.llm.tables import read
+from strata.llm.tables import read, stored
 
 SF = "/root/testdata/sf0.001"
 
@@ -50,3 +50,11 @@ def test_mixing_takes_rows_not_ids(spark, docs_of):
     got = Counter(r.text for r in out)
     assert len(out) == sum(want) and sorted(got[t] for _, t, _ in rows) == want
     assert {(r.doc_id, r.text) for r in out} <= {(i, t) for i, t, _ in rows} and max(want) == 2
+
+
+def test_mixing_is_in_training_order(spark, docs_of):
+    docs = docs_of([(k, f"{k} " * 10, f"s{k % 3}") for k in range(600)])
+    want = [r.doc_id for r in mixing.training_order(mixing.mix_sources(docs)).collect()]
+    out = stored(P.mixing_stage(spark, docs, SF), "order-test")
+    files = sorted(out.inputFiles())
+    assert [r.doc_id for f in files for r in spark.read.parquet(f).collect()] == want
