@@ -2,9 +2,11 @@
 
 Each page is parsed into a tree.  A paragraph gives points for its length
 and its commas to its parent and, halved, to its grandparent; the points of
-a container are discounted by its link density.  The best container and
-those of its siblings that carry text of their own are kept; menus, headers,
-footers, sidebars, notices, adverts, forms and comments inside are not.
+a container are discounted by its link density.  If the best container lies
+in an article, the article is kept with those of its siblings that carry
+text of their own.  Else the best container is kept with all text around it,
+at any depth, that is not made of links.  Menus, headers, footers, sidebars,
+notices, adverts, forms and comments are not.
 Pages are independent: one Arrow pass, no shuffle.
 """
 
@@ -28,6 +30,7 @@ DROPPED = RAW | {"head", "nav", "header", "footer", "aside", "form", "button", "
                  "canvas", "object", "audio", "video", "dialog", "menu", "fieldset"}
 PARAGRAPH = {"p", "pre", "blockquote", "li", "td", "dd", "h1", "h2", "h3", "h4", "h5", "h6"}
 CLOSED_BY_ITSELF = {"li", "option", "tr", "td", "th", "dt", "dd"}
+ITEMS = {"li", "td", "dd"}
 NEVER_BY_NAME = {"html", "body", "article", "main"}
 # Words of class, id and role attributes that mark what is not the article.
 MARKS = ("ad ads advert advertisement advertising banner breadcrumb breadcrumbs byline comment comments consent cookie "
@@ -41,6 +44,8 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 MARK_SET = frozenset(MARKS)
+# Fixed value: text with at least this share of its characters in links is a menu or a list of links.
+LINKED = 0.25
 
 
 def unwanted(tag: str, attributes: str) -> bool:
@@ -150,7 +155,7 @@ def best_text(page: Page) -> str:
     if not page.blocks:
         return ""
     n = len(page.tag)
-    points, chars, links = [0.0] * n, [0] * n, [0] * n
+    points, worths, chars, links = [0.0] * n, [0.0] * n, [0] * n, [0] * n
     for at, text, linked in page.blocks:
         worth = 1 + text.count(",") + min(len(text) / 100, 3)
         holder = page.parent[at] if page.tag[at] in PARAGRAPH else at
@@ -159,26 +164,63 @@ def best_text(page: Page) -> str:
         if page.parent[holder] >= 0:
             points[page.parent[holder]] += worth / 2
         while at >= 0:
+            worths[at] += worth
             chars[at] += len(text)
             links[at] += linked
             at = page.parent[at]
-    score = [p * (1 - links[i] / chars[i]) if chars[i] else 0.0 for i, p in enumerate(points)]
+    score, value = ([p * (1 - links[i] / chars[i]) if chars[i] else 0.0 for i, p in enumerate(x)] for x in (points, worths))
     best = max(range(n), key=lambda i: (score[i], -i))
     up = best
     while up >= 0 and page.tag[up] != "article":
         up = page.parent[up]
-    kept = {up if up >= 0 else best}
-    best = max(kept)
-    for i in range(n):
-        if i != best and page.parent[i] == page.parent[best] and chars[i]:
-            density = links[i] / chars[i]
-            if score[i] >= max(5.0, 0.2 * score[best]) or page.tag[i] == "p" and density < 0.25 or page.tag[i] in ("h1", "h2", "h3") and not density:
-                kept.add(i)
+    if up >= 0:
+        best = up
+        kept, own = article_and_siblings(page, best, value, chars, links), set()
+    else:
+        kept, own = best_and_around(page, best, value, chars, links)
     inside = [i in kept for i in range(n)]
     for i in range(1, n):   # parents come first
         inside[i] = inside[i] or inside[page.parent[i]]
-    own = {page.parent[best]} if page.tag[best] != "article" else set()
-    return " ".join(text for at, text, _ in page.blocks if inside[at] or at in own)
+    return " ".join(text for at, text, linked in page.blocks
+                    if inside[at] or at in own and (at == page.parent[best] or linked < LINKED * len(text)))
+
+
+def article_and_siblings(page: Page, best: int, value: list[float], chars: list[int], links: list[int]) -> set[int]:
+    """The article and those of its siblings that carry text of their own."""
+    kept = {best}
+    for i in range(len(page.tag)):
+        if i != best and page.parent[i] == page.parent[best] and chars[i]:
+            density = links[i] / chars[i]
+            if value[i] and value[i] >= 0.2 * value[best] or page.tag[i] == "p" and density < LINKED or page.tag[i] in ("h1", "h2", "h3") and not density:
+                kept.add(i)
+    return kept
+
+
+def best_and_around(page: Page, best: int, value: list[float], chars: list[int], links: list[int]) -> tuple[set[int], set[int]]:
+    """The best container with all that is not made of links on the way up to the root, and that way.
+
+    Elements of many links are looked into; a list item or cell of such an
+    element counts only when it is worth a paragraph of the best container.
+    """
+    path, up = set(), page.parent[best]
+    while up >= 0:
+        path.add(up)
+        up = page.parent[up]
+    kept, entered = {best}, set(path)
+    below = [0] * len(page.tag)
+    for at, _, _ in page.blocks:
+        below[at] += 1
+    for i in range(len(page.tag) - 1, 0, -1):   # children come last
+        below[page.parent[i]] += below[i]
+    paragraph = value[best] / max(below[best], 1)
+    for i in range(1, len(page.tag)):   # parents come first
+        if i == best or i in path or page.parent[i] not in entered or not chars[i]:
+            continue
+        if links[i] >= LINKED * chars[i]:
+            entered.add(i)
+        elif page.parent[i] in path or page.tag[i] not in ITEMS or value[i] >= paragraph:
+            kept.add(i)
+    return kept, path
 
 
 def main_text(source: str | None) -> str:

@@ -54,3 +54,22 @@ def test_odd_rows(spark):
     out = html_text.extract_pages(df).collect()
     assert sorted((r.text[:5], r.n_chars) for r in out) == sorted([("", 0), ("x", 1), ("", 0), ("x", 1), ("w w w", 399999), ("deep", 4)])
     assert html_text.extract_pages(df.limit(0)).count() == 0
+
+
+MENU = "<div><ul><li><a href=1>one</a></li><li>|</li><li><a href=2>two</a></li></ul></div>"
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<main>" + "".join(f"<section><h2>H{k}</h2><div><p>{k} {LONG}</p><p>{LONG}</p></div></section>" for k in range(3)) + "</main>",
+     " ".join(f"H{k} {k} {LONG * 2}" for k in range(3))),
+    ("<div id=c>" + "".join(f"<div><div><p>{k} {LONG}</p></div></div>" for k in range(10)) + "</div>",
+     " ".join(f"{k} {LONG}" for k in range(10))),
+    (f"<main><section><p>{LONG * 9}</p></section><section><p>Short.</p></section></main>", f"{LONG * 9} Short."),
+    (f"<body>{MENU}<div><div><div><p>{LONG}</p></div></div>{MENU}<div><p>Late, and short.</p></div></div>{MENU}</body>", f"{LONG} Late, and short."),
+    (f"<body><div>{MENU * 9}<div><div><p>first {LONG}</p></div></div></div><div>{MENU * 9}<div><div><p>{LONG}</p></div></div></div></body>",
+     f"first {LONG * 2}"),
+    (f"<div><article><div><div><p>{LONG * 9}</p></div></div></article>{MENU}<section><div><div><p>{LONG * 4}</p></div></div></section></div>",
+     f"{LONG * 13}"),
+])
+def test_nested_text_is_whole_and_menus_are_left_out(page, want):
+    assert main_text(page) == " ".join(want.split())
