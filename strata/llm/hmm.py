@@ -2,7 +2,8 @@
 
 Latent states are trained by Baum-Welch: every task runs the scaled
 forward-backward recursion over its token sequences and returns expected
-counts; the counts are summed over all tasks and give the next model.  The
+counts; the counts are summed over all tasks and give the next model.  Every
+round reads all training texts; rounds end when the likelihood gain is small.  The
 score of a text is the exact log likelihood of its whole token sequence by
 the scaled forward recursion.
 
@@ -32,10 +33,10 @@ from strata.llm.tables import crc_remainder, stored
 STATES = 8
 FREQUENT = 8192           # a word with one in so many of the tokens is its own class: at most so many words
 ENDINGS = 2048            # classes of the other words
-SEGMENT = 128             # training sequences are cut into segments of so many tokens
 BLOCK_BYTES = 2 << 20     # text per block
-START_SEGMENTS = 4096     # segments on which the first model is shaped (start values only)
-START_ROUNDS, ROUNDS = 12, 2
+SEGMENT = 128             # training sequences are cut into segments of so many tokens
+PART_TOKENS = 1 << 17     # tokens of whole texts for which a task holds the states of a recursion at once
+GAIN = 0.001              # training ends when a round adds less to the mean log10 likelihood of a token
 SMOOTHING = 0.1           # of the unigram counts
 PRIOR = 50.0              # pseudo-tokens of the unigram distribution in each state's classes
 END = np.uint64(0x454E44)           # hash that stands for the end of a text
@@ -171,28 +172,37 @@ def forward(model: Model, seq: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
-def expected(model: Model, seq: np.ndarray, n: np.ndarray, width: int = 1024):
-    """Expected start, transition and class counts of sequences of at most ``SEGMENT`` tokens."""
+def expected(model: Model, seq: np.ndarray, n: np.ndarray):
+    """Expected start, transition and class counts of whole sequences."""
+    return expected_and_score(model, seq, n)[:3]
+
+
+def expected_and_score(model: Model, seq: np.ndarray, n: np.ndarray, width: int = PART_TOKENS):
+    """Expected counts, and log10 of the factors' likelihood of all sequences."""
     first, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((len(model.mass), STATES))
     factor = np.ascontiguousarray(model.factor.T)
-    at = np.cumsum(n) - n
-    for s in range(0, len(n), width):
-        part = np.concatenate([seq[a:a + m] for a, m in zip(at[s:s + width], n[s:s + width])])
-        _, start, alive = grid(part, n[s:s + width])
-        states, scales, emits = [], [], []
+    at, score = np.cumsum(n) - n, 0.0
+    order = np.argsort(-n, kind="stable")                   # sequences of like length together
+    part_of = (np.cumsum(n[order]) - n[order]) // width     # about ``width`` tokens in memory, or one sequence
+    for mine in np.split(order, np.flatnonzero(np.diff(part_of)) + 1) if len(n) else []:
+        part = np.concatenate([seq[a:a + m] for a, m in zip(at[mine], n[mine])])
+        _, start, alive = grid(part, n[mine])
+        states, scales = [], []
         for t, k in enumerate(alive):
             e = factor[part[start[:k] + t]]
             x = e * model.start if t == 0 else (states[-1][:k] @ model.move) * e
             c = x.sum(axis=1, keepdims=True)
-            states.append(x / c), scales.append(c), emits.append(e)
+            states.append(x / c), scales.append(c)
+            score += np.log10(c).sum()
         after, gammas, wheres = np.ones((alive[-1] if len(alive) else 0, STATES)), [], []
         for t in range(len(alive) - 1, -1, -1):
             k = alive[t]
             if len(after) < k:
                 after = np.concatenate([after, np.ones((k - len(after), STATES))])
-            gammas.append(states[t] * after), wheres.append(part[start[:k] + t])
+            where = part[start[:k] + t]
+            gammas.append(states[t] * after), wheres.append(where)
             if t:
-                ahead = emits[t] * after / scales[t]
+                ahead = factor[where] * after / scales[t]
                 move += model.move * (states[t - 1][:k].T @ ahead)
                 after = ahead @ model.move.T
         if gammas:
@@ -200,7 +210,7 @@ def expected(model: Model, seq: np.ndarray, n: np.ndarray, width: int = 1024):
             gamma, where = np.concatenate(gammas), np.concatenate(wheres)
             for z in range(STATES):
                 emit[:, z] += np.bincount(where, weights=gamma[:, z], minlength=len(emit))
-    return first, move, emit.T
+    return first, move, emit.T, score
 
 
 def segments(n: np.ndarray) -> np.ndarray:
@@ -213,7 +223,7 @@ def segments(n: np.ndarray) -> np.ndarray:
 
 
 def training_classes(model: Model, r: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Class sequences of a block's training texts and the lengths of their segments."""
+    """Class sequences of a block's training texts and their lengths."""
     words, counts = np.frombuffer(r["words"], dtype=np.uint64), np.frombuffer(r["counts"], dtype=np.int32)
     classes = model.classes(words, np.frombuffer(r["endings"], dtype=np.uint16), counts > 0)
     n, train = np.array(r["n"]), np.array(r["train"], dtype=bool)
@@ -221,53 +231,27 @@ def training_classes(model: Model, r: dict) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_batches(model: Model):
-    """Expected counts of a task, one row per state."""
+    """Expected counts of a task, one row per state; each has the log likelihood of the task's texts."""
     def run(batches):
-        first, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, len(model.mass)))
+        sums = [np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, len(model.mass))), 0.0]
         for r in blocks_of(batches):
-            a, b, c = expected(model, *training_classes(model, r))
-            first, move, emit = first + a, move + b, emit + c
+            sums = [x + y for x, y in zip(sums, expected_and_score(model, *training_classes(model, r)))]
+        first, move, emit, score = sums
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(STATES), pa.int32()), pa.array(first), pa.array(list(move), pa.list_(pa.float64())),
-             pa.array(list(emit), pa.list_(pa.float64()))], names=["state", "first", "move", "emit"])
+             pa.array(list(emit), pa.list_(pa.float64())), pa.array(np.full(STATES, score))],
+            names=["state", "first", "move", "emit", "score"])
     return run
 
 
 def add_counts(table: pa.Table) -> pa.Table:
     add = lambda c: sum(np.asarray(x) for x in table[c].to_pylist())
     return pa.table({"state": table["state"][:1], "first": [float(add("first"))],
-                     "move": pa.array([add("move")], pa.list_(pa.float64())), "emit": pa.array([add("emit")], pa.list_(pa.float64()))})
-
-
-def sample_batches(model: Model):
-    """A few segments of each block, by a hash of their place."""
-    def run(batches):
-        for r in blocks_of(batches):
-            seq, n = training_classes(model, r)
-            at = np.cumsum(n) - n
-            pick = kernels.mix(at.astype(np.uint64) + np.uint64(r["block"])) >> np.uint64(1)
-            keep = np.argsort(pick, kind="stable")[:START_SEGMENTS // 16]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pick[keep].astype(np.int64)), pa.array([seq[at[i]:at[i] + n[i]] for i in keep], pa.list_(pa.int64()))],
-                names=["pick", "seq"])
-    return run
-
-
-def shaped(model: Model):
-    """Start values: Baum-Welch on the sample, in one task."""
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("pick")
-        lists = table["seq"].combine_chunks()
-        n, seq = lists.value_lengths().to_numpy(zero_copy_only=False), lists.flatten().to_numpy()
-        for _ in range(START_ROUNDS):
-            model.learn(*expected(model, seq, n))
-        return pa.table({"state": pa.array(np.arange(STATES), pa.int32()), "first": model.start,
-                         "move": pa.array(list(model.move), pa.list_(pa.float64())),
-                         "emit": pa.array(list(model.factor), pa.list_(pa.float64()))})
-    return run
+                     "move": pa.array([add("move")], pa.list_(pa.float64())), "emit": pa.array([add("emit")], pa.list_(pa.float64())),
+                     "score": [float(add("score"))]})
 
 
-COUNT_SCHEMA = "state int, first double, move array<double>, emit array<double>"
+COUNT_SCHEMA = "state int, first double, move array<double>, emit array<double>, score double"
 
 
 class Trained:
@@ -301,14 +285,17 @@ def train(docs: DataFrame) -> Trained:
         mass[len(own) + r.ending] = (r.n + SMOOTHING * r.v) / below
     mass[-1] = SMOOTHING / below
     model = Model(mass, np.array([w for w, _ in own], dtype=np.uint64))
-    picked = blocks.mapInArrow(sample_batches(model), "pick long, seq array<long>").orderBy("pick").limit(START_SEGMENTS)
-    for r in picked.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(shaped(model), COUNT_SCHEMA).collect():
-        model.start[r.state], model.move[r.state], model.factor[r.state] = r.first, r.move, r.emit
-    for _ in range(ROUNDS):
+    last = -np.inf
+    while True:
         found = (blocks.mapInArrow(count_batches(model), COUNT_SCHEMA).groupBy("state").applyInArrow(add_counts, COUNT_SCHEMA)
                  .orderBy("state").collect())                                                        # one row per state
-        if found:
-            model.learn(np.array([r["first"] for r in found]), np.array([r.move for r in found]), np.array([r.emit for r in found]))
+        if not found or not tokens:
+            break
+        model.learn(np.array([r["first"] for r in found]), np.array([r.move for r in found]), np.array([r.emit for r in found]))
+        score = found[0].score / tokens     # of the model that this round has replaced
+        if score - last < GAIN:
+            break
+        last = score
     return Trained(blocks, counts, tokens, distinct, model)
 
 

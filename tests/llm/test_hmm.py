@@ -89,3 +89,12 @@ def test_places_round_trip():
     for top in (1, 1 << 16, 1 << 20):
         places = np.random.default_rng(top).integers(0, top, 1000)
         assert (hmm.unpack(hmm.pack(places), 1000) == places).all()
+
+
+def test_every_training_text_shapes_the_model(docs_of):
+    """The same model from any split of the rows: no sample by place."""
+    rng = np.random.default_rng(4)
+    topics = [[f"{t}{k}" for k in range(40)] for t in ("a", "b", "c")]
+    docs = docs_of([(k, " ".join(rng.choice(topics[k % 3], 12))) for k in range(3000)])
+    one, many = ({r.doc_id: r.score for r in hmm.language_model_scores(docs.repartition(k)).collect()} for k in (1, 5))
+    assert one.keys() == many.keys() and all(one[i] == pytest.approx(many[i], abs=1e-3) for i in one)
