@@ -34,7 +34,6 @@ STATES = 8
 FREQUENT = 8192           # a word with one in so many of the tokens is its own class: at most so many words
 ENDINGS = 2048            # classes of the other words
 BLOCK_BYTES = 2 << 20     # text per block
-SEGMENT = 128             # training sequences are cut into segments of so many tokens
 PART_TOKENS = 1 << 17     # tokens of whole texts for which a task holds the states of a recursion at once
 GAIN = 0.001              # training ends when a round adds less to the mean log10 likelihood of a token
 SMOOTHING = 0.1           # of the unigram counts
@@ -213,21 +212,12 @@ def expected_and_score(model: Model, seq: np.ndarray, n: np.ndarray, width: int
     return first, move, emit.T, score
 
 
-def segments(n: np.ndarray) -> np.ndarray:
-    """Lengths of the segments of sequences of ``n`` tokens, in order."""
-    pieces = -(-n // SEGMENT)
-    out = np.full(pieces.sum(), SEGMENT)
-    last = np.cumsum(pieces) - 1
-    out[last] = n - (pieces - 1) * SEGMENT
-    return out
-
-
 def training_classes(model: Model, r: dict) -> tuple[np.ndarray, np.ndarray]:
     """Class sequences of a block's training texts and their lengths."""
     words, counts = np.frombuffer(r["words"], dtype=np.uint64), np.frombuffer(r["counts"], dtype=np.int32)
     classes = model.classes(words, np.frombuffer(r["endings"], dtype=np.uint16), counts > 0)
     n, train = np.array(r["n"]), np.array(r["train"], dtype=bool)
-    return classes[places_of(r, n)[np.repeat(train, n)]], segments(n[train])
+    return classes[places_of(r, n)[np.repeat(train, n)]], n[train]
 
 
 def count_batches(model: Model):

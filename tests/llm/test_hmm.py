@@ -98,3 +98,17 @@ def test_every_training_text_shapes_the_model(docs_of):
     docs = docs_of([(k, " ".join(rng.choice(topics[k % 3], 12))) for k in range(3000)])
     one, many = ({r.doc_id: r.score for r in hmm.language_model_scores(docs.repartition(k)).collect()} for k in (1, 5))
     assert one.keys() == many.keys() and all(one[i] == pytest.approx(many[i], abs=1e-3) for i in one)
+
+
+def test_training_texts_are_not_cut():
+    model, rng = small()
+    n = np.array([700, 1, 300])
+    block = {"words": np.arange(6, dtype=np.uint64).tobytes(), "endings": np.arange(6, dtype=np.uint16).tobytes(),
+             "counts": np.ones(6, dtype=np.int32).tobytes(), "n": n.tolist(), "train": [True, False, True],
+             "ids": hmm.pack(rng.integers(0, 6, n.sum()))}
+    model.frequent, model.mass = np.arange(5, dtype=np.uint64), np.ones(6 + hmm.ENDINGS) / (6 + hmm.ENDINGS)
+    model.factor = np.ones((hmm.STATES, len(model.mass)))
+    seq, lengths = hmm.training_classes(model, block)
+    first, move, _ = hmm.expected(model, seq, lengths)
+    assert lengths.tolist() == [700, 300]
+    assert first.sum() == pytest.approx(2) and move.sum() == pytest.approx(998)
