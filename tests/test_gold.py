@@ -4,7 +4,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import T
+from strata_testing import T
 from strata.plans import gold, reports
 
 AS_OF = "2024-03-31"

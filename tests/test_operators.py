@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import T
+from strata_testing import T
 from strata.functions.expr import ts_literal
 from strata.operators import dedupe
 from strata.operators.merge import UpsertRule, merge_upsert

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import T
+from strata_testing import T
 from strata.sources import pages
 
 

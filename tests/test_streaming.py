@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, T
+from strata_testing import SF_SMALL, T
 from strata.plans import gold
 from strata.sources import fixtures as fx
 from strata.sources import pages
