@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (chunk_dedup, decontaminate, exact_dedup, hmm, html_text, mixing, near_dedup, quality,
+from strata.llm import (chunk_dedup, decontaminate, exact_dedup, filter_audit, hmm, html_text, mixing, near_dedup, quality,
                         sharding, toxicity)
 from strata.llm.tables import read
 
@@ -59,6 +59,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -66,7 +70,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_toxicity, op2_language_model, op3_mix_sources, op4_substring_dedup, op5_near_dedup, op6_shard,
-                                     op7_quality, op8_decontaminate, op9_html_text, op10_exact_dedup, pipeline)}
+                                     op7_quality, op8_decontaminate, op9_html_text, op10_exact_dedup, op11_filter_audit, pipeline)}
 
 
 OP8_SQL = r"""
@@ -100,6 +104,37 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
+OP11_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first_id FROM t),
+lab AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+        FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (SELECT part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+             100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS c,
+             regexp_matches(text, '[#$%&*|]') AS d, coalesce(first_id < w.doc_id, false) AS e,
+             coalesce(good, 0) = 1 AS good, coalesce(toxic, 0) = 1 AS toxic
+      FROM w LEFT JOIN lab USING (doc_id)),
+fails AS (SELECT *, map {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} AS m, a::INT + b::INT + c::INT + d::INT + e::INT AS n_fails FROM
+          (SELECT part, a, b, c, d, e, good, toxic, count(*) AS docs FROM f GROUP BY ALL)),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM letters p, letters q, letters r, letters s, letters t
+           WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+steps AS (SELECT filter_order, step, substr(filter_order, step, 1) AS own, string_split(substr(filter_order, 1, step - 1), '') AS earlier
+          FROM orders, (SELECT unnest(range(1, 6))::INT AS step)),
+hit AS (SELECT part, filter_order, step, docs, good, toxic, n_fails, m[own] AS own_fails,
+               len(list_filter(earlier, lambda x: x <> '' AND m[x])) > 0 AS gone
+        FROM fails, steps)
+SELECT part, filter_order, step,
+       coalesce(sum(docs) FILTER (NOT gone AND NOT own_fails), 0)::BIGINT AS kept,
+       coalesce(sum(docs) FILTER (NOT gone AND own_fails), 0)::BIGINT AS removed,
+       coalesce(sum(docs) FILTER (gone AND own_fails), 0)::BIGINT AS redundant,
+       coalesce(sum(docs) FILTER (own_fails AND n_fails = 1), 0)::BIGINT AS unique_fails,
+       coalesce(sum(docs) FILTER (NOT gone AND own_fails AND good), 0)::BIGINT AS good_lost,
+       coalesce(sum(docs) FILTER (NOT gone AND own_fails AND toxic), 0)::BIGINT AS toxic_lost,
+       coalesce(sum(docs * (120 // greatest(n_fails, 1))) FILTER (own_fails), 0)::BIGINT AS shapley
+FROM hit GROUP BY part, filter_order, step
+"""
+
 
 def oracle() -> dict[str, str]:
-    return {"op8_decontaminate": OP8_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op8_decontaminate": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op11_filter_audit": OP11_SQL}
