@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (chunk_dedup, decontaminate, exact_dedup, filter_audit, hmm, html_text, mixing, near_dedup, quality,
+from strata.llm import (chunk_dedup, column_bwt, conversations, decontaminate, exact_dedup, filter_audit, hmm, html_text, mixing, near_dedup, quality,
                         sharding, toxicity)
 from strata.llm.tables import read
 
@@ -63,6 +63,14 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return column_bwt.repeated_substrings(read(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damage_and_repair(read(spark, sf_dir, "conversations")).drop("n_rows")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -70,7 +78,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_toxicity, op2_language_model, op3_mix_sources, op4_substring_dedup, op5_near_dedup, op6_shard,
-                                     op7_quality, op8_decontaminate, op9_html_text, op10_exact_dedup, op11_filter_audit, pipeline)}
+                                     op7_quality, op8_decontaminate, op9_html_text, op10_exact_dedup, op11_filter_audit,
+                                     op12_suffix_dedup, op13_conversation_repair, pipeline)}
 
 
 OP8_SQL = r"""
