@@ -81,39 +81,38 @@ def list_of(values: np.ndarray, kind) -> pa.Array:
 
 
 class Shard:
-    """Blocks of rows under one dictionary; a block's words are kept until the shard ends."""
+    """Blocks of rows under one dictionary.  A block is encoded by itself when it comes, so that no text is kept;
+    the blocks' dictionaries are made one when the shard ends."""
 
     def __init__(self, number: int):
-        self.number, self.size, self.docs, self.words, self.rows = number, 0, [], [], []
+        self.number, self.size, self.blocks = number, 0, []
 
     def add(self, batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> None:
         flat, row = split_words(batch.column("text"))
         names = ["doc_id", "part", "digest"]
         docs = pa.StructArray.from_arrays([*(batch.column(c) for c in names), pa.array(byte_flags(data, offsets))],
                                           names=[*names, "failed"])
-        self.docs.append(docs)
-        self.words.append(flat)
-        self.rows.append(row)
+        encoded = flat.dictionary_encode()
+        words, column = encoded.dictionary, encoded.indices.to_numpy(zero_copy_only=False)
+        cell = np.sort(row * max(len(words), 1) + column)
+        first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
+        count = np.diff(np.append(first, len(cell)))
+        row, column = np.divmod(cell[first], max(len(words), 1))
+        self.blocks.append((docs, words, np.searchsorted(row, np.arange(len(docs)), side="right").astype(np.int32),
+                            column.astype(np.int32), count.astype(np.int32)))
         self.size += len(data)
 
-    def blocks(self):
-        encoded = pa.concat_arrays(self.words).dictionary_encode()
-        words, every = encoded.dictionary, encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        at = 0
-        for i, (docs, row) in enumerate(zip(self.docs, self.rows)):
-            column = every[at:at + len(row)]
-            at += len(row)
-            cell = np.sort(row * max(len(words), 1) + column)
-            first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
-            count = np.diff(np.append(first, len(cell)))
-            cell_row, cell_column = np.divmod(cell[first], max(len(words), 1))
+    def batches(self):
+        encoded = pa.concat_arrays([b[1] for b in self.blocks]).dictionary_encode()
+        words, column_of, at = encoded.dictionary, encoded.indices.to_numpy(zero_copy_only=False), 0
+        for i, (docs, own, row_end, column, count) in enumerate(self.blocks):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([self.number]), pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs),
-                 list_of(np.searchsorted(cell_row, np.arange(len(docs)), side="right"), pa.int32()),
-                 list_of(cell_column, pa.int32()), list_of(count, pa.int32()),
+                 list_of(row_end, pa.int32()), list_of(column_of[at:at + len(own)][column], pa.int32()), list_of(count, pa.int32()),
                  # The dictionary stands in the shard's first block.
                  pa.ListArray.from_arrays(pa.array([0, len(words) if not i else 0], pa.int32()), words if not i else words[:0])],
                 names=BLOCK_SCHEMA.names)
+            at += len(own)
 
 
 def shard_batches(batches):
@@ -122,13 +121,13 @@ def shard_batches(batches):
     shard = Shard(task)
     for batch in batches:
         for at, data, offsets in kernels.slices(batch.column("text"), BLOCK_BYTES):
-            if shard.docs and shard.size + len(data) > SHARD_BYTES:
-                yield from shard.blocks()
+            if shard.blocks and shard.size + len(data) > SHARD_BYTES:
+                yield from shard.batches()
                 made += 1
                 shard = Shard(task + made)
             shard.add(batch.slice(at, len(offsets) - 1), data, offsets)
-    if shard.docs:
-        yield from shard.blocks()
+    if shard.blocks:
+        yield from shard.batches()
 
 
 def numbered_words(batches):
