@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Default thresholds (percent points) and lineage columns that
@@ -18,64 +18,35 @@ from pyspark.sql import functions as F
 MAX_NULL_PERCENTAGE = 0.1
 MAX_DUPLICATE_PERCENTAGE = 0.05
 LINEAGE_COLUMNS = ("source_file", "load_time", "load_status", "last_updated")
-# Largest number of duplicate-candidate row hashes that is broadcast (8 bytes each).
-MAX_BROADCAST_HASHES = 5_000_000
 
 
 def _pct(part: Column, total: Column) -> Column:
     return F.when(total > 0, F.lit(100.0) * part.cast("double") / total.cast("double")).otherwise(F.lit(0.0))
 
 
+def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """128 bits of the columns' text with their lengths: equal rows (NULLs equal, -0.0 equal to 0.0), equal digests."""
+    floats = {f.name for f in df.schema if f.dataType.typeName() in ("float", "double")}
+    plain = {c: F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.col(c)) if c in floats else F.col(c) for c in columns}
+    text = {c: plain[c].cast("string") if df.schema[c].dataType.typeName() not in ("array", "map", "struct") else F.to_json(F.struct(plain[c]))
+            for c in columns}
+    return F.unhex(F.md5(F.concat(*[F.coalesce(F.concat(F.length(text[c]).cast("string"), F.lit(":"), text[c]), F.lit("n")) for c in columns])))
+
+
 def _profile_counts(df: DataFrame, dup_cols: Sequence[str], null_cols: Sequence[str]) -> DataFrame:
     """Row count, duplicate count (NULLs equal) and per-column NULL counts
     as one row: ``__total``, ``__dups``, ``__null<i>``.
 
-    Exact, without shuffling the rows themselves: pass 1 groups a 64-bit
-    hash of the duplicate columns (only the hash and counters cross the
-    network, pre-aggregated map-side); pass 2 compares full rows only for
-    hash values seen more than once (true duplicates or hash collisions),
-    found through a broadcast of those hashes when their count is within
-    ``MAX_BROADCAST_HASHES`` (checked), else over all rows.
+    One read of the input and one shuffle of 16-byte row digests with their
+    counters, combined on the map side: the rows themselves stay where they are.
     """
     inner = [F.count(F.lit(1)).alias("__n")]
-    inner += [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"__nn{i}") for i, c in enumerate(null_cols)]
-    if not dup_cols:
-        grouped = df.agg(*inner)
-        outer = [F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("__total"), F.lit(0).cast("long").alias("__dups")]
-        outer += [F.coalesce(F.sum(f"__nn{i}"), F.lit(0)).cast("long").alias(f"__null{i}")
-                  for i in range(len(null_cols))]
-        return grouped.agg(*outer)
-    # Hash of the duplicate columns; NULL and position are encoded so that
-    # only genuine collisions need the exact pass.
-    # -0.0 and 0.0 are one value in grouping, so they are one value here.
-    floats = {f.name for f in df.schema if f.dataType.typeName() in ("float", "double")}
-    plain = {c: F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.col(c)) if c in floats else F.col(c) for c in dup_cols}
-    tagged = [F.coalesce(F.concat(F.lit("v"), plain[c].cast("string")), F.lit("n")) for c in dup_cols]
-    from strata.session import materialize
-    hashed = df.withColumn("__h", F.xxhash64(*tagged))
-    # ~16 bytes per distinct row, read three times below: compute it once.
-    per_hash = materialize(hashed.groupBy("__h").agg(*inner))
-    totals = per_hash.agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("__total"),
+    inner += [F.count(F.when(F.col(c).isNull(), 1)).alias(f"__nn{i}") for i, c in enumerate(null_cols)]
+    groups = df.groupBy(row_digest(df, dup_cols).alias("__digest")).agg(*inner) if dup_cols else df.agg(*inner)
+    dups = F.sum(F.col("__n") - 1) if dup_cols else F.lit(0)
+    return groups.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("__total"), F.coalesce(dups, F.lit(0)).cast("long").alias("__dups"),
         *[F.coalesce(F.sum(f"__nn{i}"), F.lit(0)).cast("long").alias(f"__null{i}") for i in range(len(null_cols))])
-    candidates = per_hash.filter(F.col("__n") > 1).select("__h")
-    from strata.operators.merge import has_at_most
-    if has_at_most(candidates, MAX_BROADCAST_HASHES):
-        # Few duplicate candidates: broadcast their hashes, so only candidate
-        # rows are shuffled for the exact comparison.
-        pool = hashed.join(F.broadcast(candidates), on="__h", how="left_semi")
-    else:
-        # Duplicates are common: compare all rows (identical rows still
-        # collapse map-side in the partial aggregate).
-        pool = hashed
-    exact = (pool.groupBy("__h", *dup_cols).agg(F.count(F.lit(1)).alias("__c"))
-             .agg(F.coalesce(F.sum(F.col("__c") - 1), F.lit(0)).cast("long").alias("__dups")))
-    # Combine two single-row results without a join: union in long form.
-    metrics = ["__total", "__dups"] + [f"__null{i}" for i in range(len(null_cols))]
-    long_t = totals.select(F.lit(None).cast("long").alias("__dups"), *[c for c in metrics if c != "__dups"])
-    long_d = exact.select("__dups", *[F.lit(None).cast("long").alias(c) for c in metrics if c != "__dups"])
-    both = long_t.unionByName(long_d)
-    return both.agg(*[F.coalesce(F.max(c), F.lit(0)).cast("long").alias(c) for c in metrics])
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -112,7 +83,25 @@ def dq_report(df: DataFrame, table_name: str, *, check_time: Column | None = Non
     cols = list(df.columns)
     if dup_columns is None:
         dup_columns = [c for c in cols if include_lineage or c not in LINEAGE_COLUMNS]
-    counts = _profile_counts(df, list(dup_columns), cols)
+    return verdict(_profile_counts(df, list(dup_columns), cols), cols, table_name, check_time, max_null_pct, max_dup_pct)
+
+
+def measured_report(spark: SparkSession, table_name: str, total: int, nulls: Mapping[str, int], duplicates: int,
+                    check_time: Column | None = None) -> DataFrame:
+    """The quality-log row of counts that the writing job has taken (``Observation``): no pass of its own."""
+    counts = spark.range(1).select(F.lit(total).cast("long").alias("__total"), F.lit(duplicates).cast("long").alias("__dups"),
+                                   *[F.lit(n).cast("long").alias(f"__null{i}") for i, n in enumerate(nulls.values())])
+    return verdict(counts, list(nulls), table_name, check_time, MAX_NULL_PERCENTAGE, MAX_DUPLICATE_PERCENTAGE)
+
+
+def duplicates_of(df: DataFrame, columns: Sequence[str]) -> int:
+    """Rows after the first of each group of equal rows."""
+    return _profile_counts(df, columns, []).first()["__dups"]
+
+
+def verdict(counts: DataFrame, cols: Sequence[str], table_name: str, check_time: Column | None, max_null_pct: float,
+            max_dup_pct: float) -> DataFrame:
+    """The quality-log row of one row of counts (``__total``, ``__dups``, ``__null<i>`` of ``cols``)."""
     total = F.col("__total")
     null_pcts = [_pct(F.col(f"__null{i}"), total) for i in range(len(cols))]
     dup_pct = _pct(F.col("__dups"), total)
@@ -139,6 +128,11 @@ def dq_report(df: DataFrame, table_name: str, *, check_time: Column | None = Non
     )
 
 
+def log_as_text(log: DataFrame) -> DataFrame:
+    """The quality log for export to a store without maps and arrays: null percentages as JSON, issues joined."""
+    return log.withColumn("null_percentages", F.to_json("null_percentages")).withColumn("issues", F.array_join("issues", "; "))
+
+
 def latest_sample(df: DataFrame, n: int, order_by: Sequence) -> DataFrame:
     """The latest ``n`` rows (quality check on a bounded sample, e.g. the
     1000 most recently updated silver rows).  ``order_by`` should end in a

@@ -105,9 +105,10 @@ def _name_lookup(df: DataFrame, affiliates: DataFrame) -> DataFrame:
     return df.join(dim, on="affiliate_id", how="left")
 
 
-def gold_daily(clients: DataFrame, trades: DataFrame, affiliates: DataFrame, as_of=None) -> DataFrame:
-    """Daily signups and trading per affiliate (full outer on (date, affiliate))."""
-    s = _prefixed(daily_signups(clients), "s_")
+def gold_daily(clients: DataFrame, trades: DataFrame, affiliates: DataFrame, as_of=None, signed_up: DataFrame | None = None) -> DataFrame:
+    """Daily signups and trading per affiliate (full outer on (date, affiliate)).  ``signed_up``: the
+    clients whose signup counts, if not all."""
+    s = _prefixed(daily_signups(clients if signed_up is None else signed_up), "s_")
     t = _prefixed(daily_trades(trades, clients), "t_")
     j = s.join(t, (s.s_date == t.t_date) & (s.s_affiliate_id == t.t_affiliate_id), "full")
     base = j.select(F.coalesce("s_date", "t_date").alias("date"),
@@ -121,11 +122,11 @@ def gold_daily(clients: DataFrame, trades: DataFrame, affiliates: DataFrame, as_
 
 
 def gold_monthly(clients: DataFrame, trades: DataFrame, deposits: DataFrame, affiliates: DataFrame,
-                 as_of=None) -> DataFrame:
+                 as_of=None, signed_up: DataFrame | None = None) -> DataFrame:
     """Monthly metrics, faithful chained full outer join: the deposit branch
     is matched to the *signup* branch only, so a month/affiliate with trades
     and deposits but no signups yields two rows."""
-    s = _prefixed(monthly_signups(clients), "s_")
+    s = _prefixed(monthly_signups(clients if signed_up is None else signed_up), "s_")
     t = _prefixed(monthly_trades(trades, clients), "t_")
     d = _prefixed(monthly_deposits(deposits, clients), "d_")
     j = (s.join(t, (s.s_month == t.t_month) & (s.s_affiliate_id == t.t_affiliate_id), "full")
@@ -236,9 +237,8 @@ def gold_performance(affiliates: DataFrame, clients: DataFrame, trades: DataFram
         _now(as_of).alias("last_updated"), F.lit("performance_metrics").alias("view_type"))
 
 
-# Pipeline status ladder and its completion percentages.
-STATUS_COMPLETE, STATUS_SILVER, STATUS_BRONZE, STATUS_NONE = \
-    "Complete", "Silver Complete", "Bronze Complete", "Not Started"
+# Status word and completion percentage by the number of layers reached in order.
+RUNGS = [("Not Started", 0), ("Bronze Complete", 33), ("Silver Complete", 66), ("Complete", 100)]
 
 
 def layer_counts(bronze_customers: DataFrame, clients: DataFrame) -> DataFrame:
@@ -250,6 +250,12 @@ def layer_counts(bronze_customers: DataFrame, clients: DataFrame) -> DataFrame:
         _zero("silver_clients").alias("silver_clients"))
 
 
+def affiliates_in_daily(clients: DataFrame) -> DataFrame:
+    """The affiliates of the daily view, without building it: each signup has
+    a day there, and trades are counted under the affiliate of a signed-up client."""
+    return clients.select("affiliate_id").distinct()
+
+
 def gold_etl_dashboard(bronze_customers: DataFrame, clients: DataFrame, daily: DataFrame,
                        affiliates: DataFrame, as_of=None) -> DataFrame:
     """Pipeline status per affiliate, faithful to the chained full outer
@@ -263,23 +269,16 @@ def gold_etl_dashboard(bronze_customers: DataFrame, clients: DataFrame, daily: D
         .withColumn("silver_update_time", now)
     g = daily.select(F.col("affiliate_id").alias("g_aff")).distinct().withColumn("gold_update_time", now)
     j = b.join(s, F.col("b_aff") == F.col("s_aff"), "full").join(g, F.col("b_aff") == F.col("g_aff"), "full")
-    bc, sc = F.col("bronze_customers"), F.col("silver_customers")
-    has_b, has_s, has_g = bc > 0, sc > 0, F.col("gold_update_time").isNotNull()
-    status = (F.when(has_b & has_s & has_g, F.lit(STATUS_COMPLETE))
-              .when(has_b & has_s, F.lit(STATUS_SILVER))
-              .when(has_b, F.lit(STATUS_BRONZE)).otherwise(F.lit(STATUS_NONE)))
-    pct = (F.when(has_b & has_s & has_g, F.lit(100)).when(has_b & has_s, F.lit(66))
-           .when(has_b, F.lit(33)).otherwise(F.lit(0)))
+    n = F.col("bronze_customers")
+    in_silver, in_gold = F.col("s_aff").isNotNull(), F.col("g_aff").isNotNull()
+    reached = F.when(F.coalesce(n, F.lit(0)) == 0, 0).otherwise(1 + in_silver.cast("int") + (in_silver & in_gold).cast("int"))
+    rung = F.get(F.array(*[F.struct(F.lit(w).alias("word"), F.lit(p).alias("percent")) for w, p in RUNGS]), reached)
     base = j.select(F.coalesce("b_aff", "s_aff", "g_aff").alias("affiliate_id"), "bronze_customers",
-                    "bronze_update_time", "silver_update_time", "gold_update_time",
-                    status.alias("etl_status"), pct.alias("completion_percentage"))
-    st = F.col("etl_status")
-    zero = F.lit(0).cast("long")
+                    "bronze_update_time", "silver_update_time", "gold_update_time", reached.alias("reached"), rung.alias("rung"))
+    count_if = lambda *rungs: F.when(F.col("reached").isin(*rungs), n).otherwise(F.lit(0).cast("long"))
     return _name_lookup(base, affiliates).select(
         "affiliate_id", "affiliate_name", F.col("bronze_customers").alias("total_records"),
-        F.when(st == STATUS_COMPLETE, bc).otherwise(zero).alias("success_count"),
-        F.when(st == STATUS_NONE, bc).otherwise(zero).alias("error_count"),
-        F.when(st.isin(STATUS_BRONZE, STATUS_SILVER), bc).otherwise(zero).alias("partial_count"),
-        F.col("completion_percentage").alias("success_rate"),
-        "bronze_update_time", "silver_update_time", "gold_update_time", "etl_status",
+        count_if(3).alias("success_count"), count_if(0).alias("error_count"), count_if(1, 2).alias("partial_count"),
+        F.col("rung.percent").alias("success_rate"),
+        "bronze_update_time", "silver_update_time", "gold_update_time", F.col("rung.word").alias("etl_status"),
         now.alias("last_updated"))

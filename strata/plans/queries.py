@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from strata.functions.expr import (days_before, epoch_ms_to_ts, parse_decimal, ratio_half_up, ts_literal,
                                    ts_to_epoch_ms, trunc_ntz)
 from strata.operators import dedupe, quality
+from strata.operators.paging import PagedTable
 from strata.plans import gold, reports, silver
 from strata.sources import fixtures as fx
 from strata.sources import pages
@@ -26,12 +27,12 @@ from strata.session import materialize, work_dir
 AS_OF = fx.AS_OF
 NOW1 = dt.datetime(2001, 8, 1)
 NOW2 = dt.datetime(2001, 8, 2)
-CLIENT_SNAPSHOT_END = "2000-01-01 00:00:00"     # clients known to an FK check
-SEEN_END = "1999-01-01 00:00:00"                # customers already seen
 SLICE = ("2000-01-01 00:00:00", "2000-04-01 00:00:00")
+SLICE_CLIENT = "7"
 LOOKBACK_DAYS = 365
 DT_UNIT = "year"    # landing folders per year: the fixture history spans years
 PAGE_NO, PAGE_ROWS = 3, 100
+DEEP_PAGE = 50
 SPLITS = {  # (end of first batch, start of second batch): overlapping loads
     "affiliates": ("1998-01-01 00:00:00", "1997-01-01 00:00:00"),
     "deposits": ("1998-01-01 00:00:00", "1997-07-01 00:00:00"),
@@ -90,7 +91,7 @@ class Layers:
         return self._get("gd", lambda: gold.gold_daily(self.clients(), self.trades(), self.affiliates(), AS_OF))
 
     def dashboard(self):
-        return gold.gold_etl_dashboard(self.bronze_customers(), self.clients(), self.daily(),
+        return gold.gold_etl_dashboard(self.bronze_customers(), self.clients(), gold.affiliates_in_daily(self.clients()),
                                        self.affiliates(), AS_OF)
 
 
@@ -230,6 +231,13 @@ def q_page_read(spark, sf):
     return reports.page_read(c, [F.col("client_id").asc()], PAGE_NO, PAGE_ROWS)
 
 
+def q_page_read_ranges(spark, sf):
+    """A page deep in all deposits, by time and order, from a range-partitioned copy: one or two ranges are read."""
+    table = PagedTable(spark, work_dir(spark, "paged_deposits"))
+    table.write(fx.deposits(spark, sf, lineage=False), [F.col("deposit_time").asc(), F.col("order_id").asc()], ranges=16)
+    return table.page(DEEP_PAGE, PAGE_ROWS)
+
+
 # --- joins ----------------------------------------------------------------------
 
 def q_join_trades_clients(spark, sf):
@@ -251,16 +259,14 @@ def q_active_clients_exists(spark, sf):
 
 
 def q_new_customers_anti(spark, sf):
-    c = fx.customers(spark, sf, lineage=False)
-    seen = _before(c, "register_time", SEEN_END)
-    return dedupe.new_keys(c, seen, ["client_id"])
+    """Customers that the asset feed has not seen."""
+    return dedupe.new_keys(fx.customers(spark, sf, lineage=False), fx.assets(spark, sf, lineage=False), ["client_id"])
 
 
 def _fk(spark, sf):
-    L = Layers(spark, sf)
-    known = _before(L.clients(), "register_time", CLIENT_SNAPSHOT_END)
+    """All trades against the clients of the event feed, to which most traders are unknown."""
     tr = fx.trades(spark, sf, lineage=False).select("client_id", "trade_time", "trade_volume")
-    return quality.fk_split(tr, known, ["client_id"])
+    return quality.fk_split(tr, silver.build_clients(fx.customers_from_events(spark, sf), NOW1), ["client_id"])
 
 
 def q_fk_valid(spark, sf):
@@ -349,9 +355,9 @@ def q_latest_trades(spark, sf):
 
 
 def q_seen_keys_union(spark, sf):
-    c = _before(fx.customers(spark, sf, lineage=False), "register_time", SEEN_END)
-    t = _from(fx.trades(spark, sf, lineage=False), "trade_time", SEEN_END)
-    return dedupe.union_keys(c, t, keys=["client_id"])
+    """Clients seen by any feed: customers, trades and asset updates, all of them."""
+    return dedupe.union_keys(fx.customers(spark, sf, lineage=False), fx.trades(spark, sf, lineage=False),
+                             fx.assets(spark, sf, lineage=False), keys=["client_id"])
 
 
 # --- silver first loads and upserts ---------------------------------------------------
@@ -512,12 +518,103 @@ def q_check_constraints(spark, sf):
     pk = quality.check_pk(d, ["order_id"]).agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("violations")) \
         .select(F.lit("order_id_unique").alias("constraint_name"), "violations")
-    known = _before(Layers(spark, sf).clients(), "register_time", CLIENT_SNAPSHOT_END)
+    known = silver.build_clients(fx.customers_from_events(spark, sf), NOW1)
     fk = quality.fk_split(d, known, ["client_id"])[1].agg(F.count(F.lit(1)).alias("violations")) \
         .select(F.lit("client_id_known").alias("constraint_name"), "violations")
     return row_checks.unionByName(pk).unionByName(fk)
 
 
+# --- the same operators on rows with both outcomes -------------------------------------------
+
+def q_latest_customers_feeds(spark, sf):
+    """Keep-latest over three customer feeds that announce most clients many times, under several affiliates."""
+    cols = ["affiliate_id", "client_id", "register_time"]
+    feeds = (fx.customers(spark, sf, lineage=False).select(cols).unionByName(fx.customers_from_orders(spark, sf).select(cols))
+             .unionByName(fx.customers_from_events(spark, sf).select(cols)))
+    return silver.latest_customers(feeds)
+
+
+def _mixed_dashboard(spark, sf):
+    """Layers that know different affiliates: bronze those of the parts (by size), silver those of the customers
+    (by nation), gold those of the events (by user): every rung of the status ladder occurs."""
+    bronze = fx.table(spark, sf, "part").select(F.col("p_size").cast("string").alias("affiliate_id"), F.col("p_partkey").cast("string").alias("client_id"))
+    daily = fx.table(spark, sf, "events").select((F.col("user_id") % 15).cast("string").alias("affiliate_id"))
+    L = Layers(spark, sf)
+    return gold.gold_etl_dashboard(bronze, L.clients(), daily, L.affiliates(), AS_OF)
+
+
+def q_etl_dashboard_mixed(spark, sf): return _mixed_dashboard(spark, sf)
+def q_report_etl_issues_mixed(spark, sf): return reports.report_etl_issues(_mixed_dashboard(spark, sf))
+
+
+def q_validate_records_mixed(spark, sf):
+    """Record rules over account balances as deposits: some are negative, suppliers have no coin, and the part names are too long for one."""
+    def feed(table, key, amount, coin):
+        t = fx.table(spark, sf, table)
+        return t.select(F.concat(F.lit(f"{table}-"), F.col(key).cast("string")).alias("order_id"),
+                        F.when(F.col(key) % 10 != 0, F.col(key).cast("string")).alias("client_id"),
+                        coin.alias("deposit_coin"), F.col(amount).cast("decimal(20,8)").alias("deposit_amount"),
+                        F.when(F.col(key) % 7 != 0, F.lit("SUCCESS")).otherwise(F.lit("LOST")).alias("load_status"))
+    rows = (feed("customer", "c_custkey", "c_acctbal", F.col("c_mktsegment"))
+            .unionByName(feed("supplier", "s_suppkey", "s_acctbal", F.lit(None).cast("string")))
+            .unionByName(feed("part", "p_partkey", "p_retailprice", F.col("p_name"))))
+    v = quality.validate_records(rows, deposit_rules())
+    return v.select("order_id", "client_id", "deposit_amount", "is_valid", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+def q_validate_counts_mixed(spark, sf):
+    """Count consistency of each supplier's lines: total against returned, open and discounted ones, which overlap for some."""
+    flag = lambda c: F.sum(c.cast("int")).cast("long")
+    r = fx.table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
+        F.count(F.lit(1)).alias("total_records"), flag(F.col("l_returnflag") == "N").alias("success_count"),
+        flag(F.col("l_returnflag") == "R").alias("error_count"),
+        flag((F.col("l_returnflag") == "A") & (F.col("l_suppkey") % 2 == 0) | (F.col("l_discount") > 0.09) & (F.col("l_suppkey") % 3 == 0)).alias("partial_count"))
+    return r.select("*", quality.counts_consistent("total_records", ["success_count", "error_count", "partial_count"]).alias("counts_consistent"))
+
+
+def q_validate_envelope_mixed(spark, sf):
+    """Response codes over landing pages of which the error events answer with a word, one page an event."""
+    root = work_dir(spark, "codes")
+    e = fx.table(spark, sf, "events")
+    code = F.when(F.col("event_type") == "error", F.col("event_type")).otherwise(F.lit(pages.OK_CODE))
+    page = F.to_json(F.struct(code.alias("code"), F.array(F.struct(F.col("user_id").cast("string").alias("uid"))).alias("data")))
+    e.select((F.col("user_id") % fx.AFFILIATE_SPREAD).cast("string").alias("affiliate_id"), F.lit("assets").alias("endpoint"),
+             F.to_date("ts").alias("dt"), page.alias("value")).write.partitionBy("affiliate_id", "endpoint", "dt").text(root)
+    env = pages.validate_envelope(pages.read_envelopes(spark, root, "assets"))
+    return env.groupBy("affiliate_id", "dt", "code_valid").agg(F.sum(F.size("data")).cast("long").alias("records"))
+
+
+def q_time_slice_client(spark, sf):
+    """The deposits of one client in a time slice."""
+    return reports.time_slice(fx.deposits(spark, sf, lineage=False), "deposit_time", *SLICE, client_id=SLICE_CLIENT)
+
+
+def q_batch_log(spark, sf):
+    """Batch log of deposit pages, one page an order: records, pages, first and last event, record time as ISO text."""
+    root = work_dir(spark, "batch_log")
+    d = fx.deposits(spark, sf, lineage=False)
+    record = F.struct(F.col("order_id").alias("orderId"), F.col("client_id").alias("uid"), ts_to_epoch_ms("deposit_time").cast("string").alias("depositTime"),
+                      F.col("deposit_coin").alias("depositCoin"), F.col("deposit_amount").cast("string").alias("depositAmount"))
+    page = F.to_json(F.struct(F.lit(pages.OK_CODE).alias("code"), F.collect_list(record).alias("data")))     # the lines of an order
+    (d.groupBy("affiliate_id", F.split("order_id", "-")[0].alias("order")).agg(page.alias("value"))
+     .select("affiliate_id", F.lit("deposits").alias("endpoint"), F.lit(AS_OF).alias("dt"), "value")
+     .write.partitionBy("affiliate_id", "endpoint", "dt").text(root))
+    return pages.batch_log(pages.scan_lines(spark, root, "deposits", load_time=NOW1), "deposits", NOW1)
+
+
+def q_gold_daily_sorted(spark, sf): return reports.in_order(q_gold_daily(spark, sf), "gold_affiliate_daily_metrics")
+def q_gold_monthly_sorted(spark, sf): return reports.in_order(q_gold_monthly(spark, sf), "gold_affiliate_monthly_metrics")
+def q_gold_etl_dashboard_sorted(spark, sf): return reports.in_order(_mixed_dashboard(spark, sf), "gold_etl_affiliate_dashboard")
+
+
+def q_dq_log_text(spark, sf):
+    """The quality log as exported: null percentages as JSON text, issues as one text."""
+    from strata.plans import jobs
+    root = work_dir(spark, "dq_log_text")
+    jobs.log_quality(spark, root, fx.documents_labeled(spark, sf).select("lang", "source", "n_chars"), "documents", NOW1)
+    return quality.log_as_text(jobs.read_quality_log(spark, root)).select("table_name", "total_records", "null_percentages", "issues", "validation_passed")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from strata.streaming import ingest as st
     from strata.plans import jobs
@@ -540,6 +637,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "trailing_30d": q_trailing_30d,
         "time_slice": q_time_slice,
         "page_read": q_page_read,
+        "page_read_ranges": q_page_read_ranges,
         "join_trades_clients": q_join_trades_clients,
         "join_deposits_clients": q_join_deposits_clients,
         "active_clients_exists": q_active_clients_exists,
@@ -592,8 +690,26 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_trades_dedup": st.q_stream_trades_dedup,
         "stream_trades_upsert": st.q_stream_trades_upsert,
         "stream_daily_trades": st.q_stream_daily_trades,
+        "stream_quarantine": st.q_stream_quarantine,
+        "stream_late_rows": st.q_stream_late_rows,
+        "stream_daily_affiliate": st.q_stream_daily_affiliate,
+        "latest_customers_feeds": q_latest_customers_feeds,
+        "etl_dashboard_mixed": q_etl_dashboard_mixed,
+        "report_etl_issues_mixed": q_report_etl_issues_mixed,
+        "validate_records_mixed": q_validate_records_mixed,
+        "validate_counts_mixed": q_validate_counts_mixed,
+        "validate_envelope_mixed": q_validate_envelope_mixed,
+        "time_slice_client": q_time_slice_client,
+        "batch_log": q_batch_log,
+        "gold_daily_sorted": q_gold_daily_sorted,
+        "gold_monthly_sorted": q_gold_monthly_sorted,
+        "gold_etl_dashboard_sorted": q_gold_etl_dashboard_sorted,
+        "dq_log_text": q_dq_log_text,
         "run_all_layers": jobs.q_run_all_layers,
         "run_bronze_layer": jobs.q_run_bronze_layer,
         "run_silver_layer": jobs.q_run_silver_layer,
         "run_gold_layer": jobs.q_run_gold_layer,
+        "run_silver_incremental": jobs.q_run_silver_incremental,
+        "gold_refresh": jobs.q_gold_refresh,
+        "gold_refresh_daily": jobs.q_gold_refresh_daily,
     }

@@ -44,6 +44,20 @@ def report_affiliate_metrics(performance: DataFrame) -> DataFrame:
             .orderBy(F.col("trading_volume_30d").desc_nulls_first(), F.col("affiliate_name").asc()))
 
 
+# The order in which each view is shown (newest period first, NULL placement as in the source's database).
+VIEW_ORDERS = {
+    "gold_affiliate_daily_metrics": [("date", False), ("affiliate_id", True)],
+    "gold_affiliate_monthly_metrics": [("month", False), ("affiliate_id", True)],
+    "gold_affiliate_performance": [("trading_volume_30d", False)],
+    "gold_etl_affiliate_dashboard": [("affiliate_id", True)],
+}
+
+
+def in_order(view: DataFrame, name: str) -> DataFrame:
+    """A gold view sorted as it is shown: descending with NULLs first, ascending with NULLs last."""
+    return view.orderBy(*[F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_first() for c, up in VIEW_ORDERS[name]])
+
+
 def page_read(df: DataFrame, order_by: list, page_no: int, page_size: int) -> DataFrame:
     """Page ``page_no`` (1-based) of ``page_size`` rows in ``order_by`` order
     (give a unique ordering).  Deep pages cost O(page_no * page_size) per

@@ -13,9 +13,11 @@ code runs on a local disk, HDFS or an object store.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators.dedupe import insert_ignore
 from strata.operators.merge import merge_upsert
@@ -42,11 +44,10 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath) and fs.delete(jpath, True))
 
 
-def glob_matches(spark: SparkSession, pattern: str) -> bool:
-    """Does a path glob match anything (listing only, no file is opened)?"""
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a glob matches (listing only, no file is opened)."""
     fs, jpath, _ = _fs(spark, pattern)
-    found = fs.globStatus(jpath)
-    return found is not None and len(found) > 0
+    return [st.getPath().toString() for st in fs.globStatus(jpath) or []]
 
 
 def has_data(spark: SparkSession, path: str) -> bool:
@@ -191,6 +192,12 @@ class PartitionedTable:
             return self.spark.createDataFrame([], self.schema)
         return self._current().drop(self.part_col)
 
+    def read_partitions(self, values: Sequence) -> DataFrame:
+        """The rows of some partitions; the folders of others are not opened."""
+        if not self.exists():
+            return self.read()
+        return self._current().filter(F.col(self.part_col).isin(list(values))).drop(self.part_col)
+
     def _with_part(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.part_col, self.part_expr())
 
@@ -202,10 +209,6 @@ class PartitionedTable:
                updated_col: str | None = "last_updated") -> list:
         """Merge ``source`` into the partitions it touches, the NULL partition
         included; returns their values (one per folder rewritten)."""
-        import uuid
-
-        from pyspark.sql import functions as F
-
         if not self.exists():
             if self.schema is None:
                 stamp = now if now is not None else F.current_timestamp().cast("timestamp_ntz")

@@ -40,13 +40,6 @@ def _spread(key_col: str):
     return (F.col(key_col) % AFFILIATE_SPREAD).cast("string")
 
 
-def affiliates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Affiliate dimension from ``nation``: affiliate_id, name."""
-    n = table(spark, sf_dir, "nation")
-    aid = F.col("n_nationkey").cast("string")
-    return n.select(aid.alias("affiliate_id"), F.concat(F.lit("Affiliate "), aid).alias("name"))
-
-
 def customers(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     reg = F.timestamp_add("DAY", ((F.col("c_custkey") * REGISTER_STEP_DAYS) % REGISTER_SPAN_DAYS).cast("int"),
@@ -67,6 +60,14 @@ def customers_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                     *_lineage("orders.parquet"))
 
 
+def customers_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third customer feed: every event announces its user, registered at the event's time.
+    Only a part of the customers has events."""
+    e = table(spark, sf_dir, "events")
+    return e.select(_spread("user_id").alias("affiliate_id"), F.col("user_id").cast("string").alias("client_id"),
+                    F.col("ts").alias("register_time"), *_lineage("events.parquet", EVENTS_AS_OF))
+
+
 def trades(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     cols = [_spread("o_custkey").alias("affiliate_id"),
