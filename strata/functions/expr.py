@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "EPOCH_NTZ", "as_column", "epoch_ms_to_ts", "ts_to_epoch_ms", "parse_decimal",
-    "trunc_ntz", "safe_div", "ts_literal",
+    "trunc_ntz", "ts_literal",
     "date_literal", "days_before", "affiliate_name", "affiliate_email", "ratio_half_up",
 ]
 
@@ -64,12 +64,6 @@ def trunc_ntz(unit: str, c) -> Column:
     return F.date_trunc(unit, as_column(c)).cast("timestamp_ntz")
 
 
-def safe_div(num, den, default=0) -> Column:
-    """``CASE WHEN den > 0 THEN num / den ELSE default END``."""
-    num, den = as_column(num), as_column(den)
-    return F.when(den > 0, num / den).otherwise(F.lit(default))
-
-
 def ratio_half_up(num, den, digits: int, num_scale: int = 0) -> Column:
     """``num / den`` rounded half-up to ``digits`` decimals *exactly*, as
     DOUBLE; 0 when ``den`` is not positive.

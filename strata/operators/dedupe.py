@@ -35,12 +35,12 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column |
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
-def insert_ignore(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
+def insert_ignore(target: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
                   arrival_order: Sequence[Column | str], broadcast_max_keys: int | None = 1_000_000) -> DataFrame:
     """Rows of ``incoming`` that an ``INSERT ... ON CONFLICT DO NOTHING`` would
     add to ``target``: the first row per key in arrival order, minus keys
     already present.  Rows with a NULL key are rejected (NOT NULL keys).
-    Returns only the delta, to be appended.
+    Returns only the delta, to be appended.  ``target=None`` is a table without rows: nothing is probed.
 
     When the batch has at most ``broadcast_max_keys`` keys (bounded count),
     its keys are broadcast and the target's key column is only scanned and
@@ -49,6 +49,8 @@ def insert_ignore(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     from strata.operators.merge import has_at_most
     from strata.session import materialize
     fresh = incoming.filter(_not_null(keys))
+    if target is None:
+        return keep_latest(fresh, keys, arrival_order)
     # Used three times below (size check, key probe, delta): compute it once.
     first = materialize(keep_latest(fresh, keys, arrival_order))
     if broadcast_max_keys is not None and has_at_most(first.select(*keys), broadcast_max_keys):

@@ -4,10 +4,10 @@ UPDATE`` on a parquet table, which has no MERGE).
 Two physical strategies, chosen by a bounded size check of the incoming
 batch (the batch is one row per key after keep-latest):
 
-* **small batch** (at most ``broadcast_max_keys`` keys): the batch keys are
-  broadcast; the target is only *scanned* and split map-side into rows the
-  batch touches and rows it does not.  Only the touched rows meet the batch
-  in a (small) full outer join.  The big target is never shuffled.
+* **small batch** (at most ``broadcast_max_keys`` keys): the batch is
+  broadcast and looked up while the target is *scanned* once; the target's
+  keys are read a second time to find the batch rows that are new.  The
+  big target is never shuffled.
 * **large batch** (backfills, first loads): one full outer join on the key;
   both sides shuffle once.
 
@@ -54,17 +54,23 @@ def has_at_most(df: DataFrame, n: int) -> bool:
     return df.count() <= n
 
 
-def _merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], rules: Mapping[str, object],
-                stamp: Column, updated_col: str | None) -> DataFrame:
+def _sides(target: DataFrame, source: DataFrame, keys: Sequence[str], updated_col: str | None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Target and source with their columns and presence marked apart, and the source's merged columns."""
     cols = [c for c in target.columns if c not in keys]
-    t = target.select(*keys, *[F.col(c).alias("__t_" + c) for c in cols], F.lit(True).alias(_IN_T))
     s_cols = [c for c in cols if c in source.columns and c != updated_col]
-    s = source.select(*keys, *[F.col(c).alias("__s_" + c) for c in s_cols], F.lit(True).alias(_IN_S))
-    j = t.join(s, on=list(keys), how="full")
-    in_t = F.col(_IN_T).isNotNull()
-    in_s = F.col(_IN_S).isNotNull()
+    t = target.select(*keys, *[F.col(c).alias("__t_" + c) for c in cols], F.lit(True).alias(_IN_T))
+    return t, source.select(*keys, *[F.col(c).alias("__s_" + c) for c in s_cols], F.lit(True).alias(_IN_S)), s_cols
+
+
+def _merged_columns(target: DataFrame, keys: Sequence[str], s_cols: Sequence[str], rules: Mapping[str, object], stamp: Column,
+                    updated_col: str | None) -> list[Column]:
+    """The target's columns after the merge of two joined sides."""
+    in_t, in_s = F.col(_IN_T).isNotNull(), F.col(_IN_S).isNotNull()
     out = []
-    for c in cols:
+    for c in target.columns:
+        if c in keys:
+            out.append(F.col(c))
+            continue
         old = F.col("__t_" + c)
         if c == updated_col:
             merged = F.when(in_s, stamp).otherwise(old)
@@ -75,7 +81,7 @@ def _merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], rules
         else:
             merged = old
         out.append(merged.cast(target.schema[c].dataType).alias(c))
-    return j.select(*keys, *out)
+    return out
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -97,10 +103,13 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     # The batch is read by the size check, the key probes and the merge:
     # compute it once (and cut its lineage).
     source = materialize(source)
+    t, s, s_cols = _sides(target, source, keys, updated_col)
+    columns = _merged_columns(target, keys, s_cols, rules, stamp, updated_col)
     if broadcast_max_keys is not None and has_at_most(source.select(*keys), broadcast_max_keys):
-        src_keys = F.broadcast(source.select(*keys))
-        touched = target.join(src_keys, on=list(keys), how="left_semi")
-        untouched = target.join(src_keys, on=list(keys), how="left_anti")
-        merged = _merge_rows(touched, source, keys, rules, stamp, updated_col)
-        return untouched.select(*target.columns).unionByName(merged.select(*target.columns))
-    return _merge_rows(target, source, keys, rules, stamp, updated_col)
+        # Updates are looked up as the target streams by; its keys alone are read again for the inserts.
+        updated = t.join(F.broadcast(s), on=list(keys), how="left").select(*columns)
+        present = target.select(*keys).join(F.broadcast(source.select(*keys)), on=list(keys), how="left_semi")
+        absent = s.join(F.broadcast(present), on=list(keys), how="left_anti")
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in t.schema.fields if f.name not in keys]
+        return updated.unionByName(absent.select("*", *nothing).select(*columns))
+    return t.join(s, on=list(keys), how="full").select(*columns)

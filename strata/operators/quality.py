@@ -163,19 +163,63 @@ def check_pk(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .filter((F.col("n") > 1) | F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))))
 
 
+# A parent filter: this many bits a key, at most this many words of 64 bits (some 24 bytes each where they are broadcast).
+FILTER_BITS = 12
+MAX_FILTER_WORDS = 2_000_000
+
+
+def _filter_word(keys: Sequence[str], words: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(words))
+
+
+def _filter_mask(keys: Sequence[str]) -> Column:
+    """Four bits of a word, by other bits of the key's hash."""
+    h = F.xxhash64(F.lit(17), *keys)
+    mask = F.lit(0).cast("long")
+    for k in range(4):
+        place = F.shiftrightunsigned(h, 6 * k).bitwiseAND(F.lit(63)).cast("int")
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+    return mask
+
+
+def key_filter(parent: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int] | None:
+    """A blocked Bloom filter of the parent's keys, ``__word, __bits``, and its number of words; None beyond the bound.
+
+    Each key sets four bits of one word, so a probe is one lookup.  Built by an
+    ordinary aggregation: words are combined on the map side.
+    """
+    words = max(1, parent.count() * FILTER_BITS // 64)
+    if words > MAX_FILTER_WORDS:
+        return None
+    return (parent.select(_filter_word(keys, words).alias("__word"), _filter_mask(keys).alias("__mask"))
+            .groupBy("__word").agg(F.bit_or("__mask").alias("__bits"))), words
+
+
 def fk_split(child: DataFrame, parent: DataFrame, keys: Sequence[str] | Mapping[str, str],
-             strict: bool = False) -> tuple[DataFrame, DataFrame]:
+             strict: bool = False, prefilter: bool = False) -> tuple[DataFrame, DataFrame]:
     """Foreign-key enforcement: (rows whose key exists in ``parent``, orphans).
 
     ``keys`` is a list of shared names or a mapping child column -> parent
     column.  With ``strict`` a non-empty orphan set raises (the source system
-    aborts the load); the check is a single ``isEmpty`` probe.
+    aborts the load); the check is a single ``isEmpty`` probe.  With
+    ``prefilter`` a Bloom filter of the parent keys is broadcast first, if its size
+    is within its bound: rows that it rejects are orphans at once and never
+    shuffled, the rest is joined exactly.
     """
     mapping = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
     par = parent.select(*[F.col(p).alias(c) for c, p in mapping.items()])
     on = list(mapping)   # a semi or anti join needs no distinct parent, and stays open to skew splitting
-    valid = child.join(par, on=on, how="left_semi")
-    orphans = child.join(par, on=on, how="left_anti")
+    found = key_filter(par, on) if prefilter else None
+    if found is None:
+        valid, orphans = child.join(par, on=on, how="left_semi"), child.join(par, on=on, how="left_anti")
+    else:
+        table, words = found
+        missing = F.greatest(*[F.col(k).isNull() for k in on], F.lit(False))
+        probed = (child.withColumn("__word", F.when(~missing, _filter_word(on, words))).join(F.broadcast(table), "__word", "left")
+                  .withColumn("__maybe", F.coalesce(F.col("__bits").bitwiseAND(_filter_mask(on)) == _filter_mask(on), F.lit(False))))
+        maybe = probed.filter("__maybe").select(child.columns)
+        valid = maybe.join(par, on=on, how="left_semi")
+        orphans = probed.filter("not __maybe").select(child.columns).unionByName(maybe.join(par, on=on, how="left_anti").select(child.columns))
     if strict and not orphans.isEmpty():
         raise ValueError("foreign key violation: child rows without a parent")
     return valid, orphans

@@ -117,7 +117,7 @@ SILVER = [b("bc"), b("bt"), b("bd"),
 # What clients do, in one long table: each signup, trade and deposit once, under the client's affiliate.
 # Every metric is a grouped, filtered count or sum over it.
 
-MOVES = """SELECT affiliate_id, client_id, register_time AS at, 'signup' AS what, 0 AS amount FROM sc
+MOVES = """SELECT affiliate_id, client_id, register_time AS moment, 'signup' AS what, 0 AS amount FROM sc
 UNION ALL SELECT affiliate_id, client_id, trade_time, 'trade', trade_volume FROM st JOIN sc USING (client_id)
 UNION ALL SELECT affiliate_id, client_id, deposit_time, 'deposit', deposit_amount FROM sd JOIN sc USING (client_id)"""
 
@@ -136,7 +136,7 @@ TRADERS = "count(DISTINCT client_id) FILTER (what = 'trade') AS active_traders"
 def per(unit: str, name: str, columns: list[str], what: str | None = None) -> str:
     """``columns`` by period and affiliate; with ``what``, of these moves alone."""
     only = f"WHERE what = '{what}' " if what else ""
-    return (f"SELECT CAST(date_trunc('{unit}', at) AS TIMESTAMP) AS {name}, affiliate_id, {', '.join(columns)} "
+    return (f"SELECT CAST(date_trunc('{unit}', moment) AS TIMESTAMP) AS {name}, affiliate_id, {', '.join(columns)} "
             f"FROM moves {only}GROUP BY 1, 2")
 
 
@@ -181,7 +181,7 @@ GROUP BY ALL"""
 def recent_trading(n: str, columns: str, mean: str) -> str:
     return f"""SELECT affiliate_id, {n} AS {columns}, CAST(sum(amount) AS DECIMAL(28,8)) AS trading_volume_30d,
        {half_up("sum(amount)", n, 4, 8)} AS {mean}
-FROM moves WHERE what = 'trade' AND at >= {CUTOFF_30D} GROUP BY affiliate_id"""
+FROM moves WHERE what = 'trade' AND moment >= {CUTOFF_30D} GROUP BY affiliate_id"""
 
 
 TM = recent_trading("count(*)", "trades_30d", "avg_trade_size")
@@ -220,8 +220,12 @@ VIEWS = [("moves", MOVES), ("ds", per("day", "date", [number("signup", "new_sign
          ("md", per("month", "month", [number("deposit", "total_deposits"), total("deposit", "deposit_volume")], "deposit")),
          ("mm", per("month", "month", MONTH)), ("gd", GD), ("gm", GM), ("am", AM), ("tm", TM), ("gp", GP), ("ge", ge())]
 GOLD = SILVER + VIEWS
+# Deposits as the jobs' insert-once table holds them: the first arrival of each order id.
+FIRST_DEPOSITS = [("bd0", BRONZE["bd"]), ("bd", """SELECT DISTINCT ON (order_id) * FROM bd0
+ORDER BY order_id, deposit_time NULLS FIRST, deposit_amount NULLS FIRST, client_id NULLS FIRST, deposit_coin NULLS FIRST""")]
+LANDED = [b("bc"), b("bt"), *FIRST_DEPOSITS, *SILVER[3:], *VIEWS]
 # The same views over the clients that the events announce, each at its first event.
-FROM_EVENTS = [b("bt"), b("bd"), ("bc", """SELECT CAST(user_id % 25 AS VARCHAR) AS affiliate_id, CAST(user_id AS VARCHAR) AS client_id, min(ts) AS register_time
+FROM_EVENTS = [b("bt"), *FIRST_DEPOSITS, ("bc", """SELECT CAST(user_id % 25 AS VARCHAR) AS affiliate_id, CAST(user_id AS VARCHAR) AS client_id, min(ts) AS register_time
 FROM events GROUP BY ALL"""), *SILVER[3:], *VIEWS]
 # Layers that know different affiliates: all rungs of the ladder.
 MIXED = SILVER + [("pb", "SELECT CAST(p_size AS VARCHAR) AS affiliate_id, CAST(p_partkey AS VARCHAR) AS client_id FROM part"),
@@ -582,7 +586,7 @@ UNION ALL SELECT CAST(user_id % 25 AS VARCHAR), CAST(user_id AS VARCHAR), ts FRO
         "validate_envelope_mixed": "SELECT CAST(user_id % 25 AS VARCHAR) AS affiliate_id, CAST(ts AS DATE) AS dt, event_type <> 'error' AS code_valid, "
                                    "count(*) AS records FROM events GROUP BY ALL",
         "time_slice_client": with_([b("bd")], "SELECT order_id, affiliate_id, client_id, deposit_time, deposit_coin, deposit_amount FROM bd "
-                                              "WHERE client_id = '7' AND deposit_time >= TIMESTAMP '2000-01-01' AND deposit_time < TIMESTAMP '2000-04-01'"),
+                                              "WHERE client_id = '20' AND deposit_time >= TIMESTAMP '2000-01-01' AND deposit_time < TIMESTAMP '2000-04-01'"),
         "batch_log": with_([b("bd")], """SELECT affiliate_id, 'deposits' AS endpoint, count(*) AS records_fetched, count(DISTINCT split_part(order_id, '-', 1)) AS pages_fetched,
        min(deposit_time) AS start_time, max(deposit_time) AS end_time, '2001/08/01' AS folder, '2001-08-01T00:00:00' AS record_timestamp FROM bd GROUP BY affiliate_id"""),
         "gold_daily_sorted": gold_q("SELECT * FROM gd"),
@@ -604,10 +608,10 @@ FROM (SELECT 'bronze_customers' AS table_name, affiliate_id, client_id FROM (SEL
       UNION ALL SELECT 'bronze_trades', affiliate_id, client_id FROM bt, range(2)
       UNION ALL SELECT 'bronze_assets', affiliate_id, client_id FROM ba, range(2)) GROUP BY 1, 2"""),
         "run_silver_layer": with_(SILVER, "SELECT * FROM st"),
-        "run_gold_layer": gold_q("SELECT * FROM gm"),
+        "run_gold_layer": with_(LANDED, "SELECT * FROM gm"),
         "gold_refresh": with_(FROM_EVENTS, "SELECT * FROM gm"),
         "gold_refresh_daily": with_(FROM_EVENTS, "SELECT * FROM gd"),
-        "run_silver_incremental": with_([b("bt"), b("bd")], f"""SELECT 'tradeactivities' AS table_name, if(client_id IN {IN_EVENTS}, 'silver', 'waiting') AS state,
+        "run_silver_incremental": with_([b("bt"), *FIRST_DEPOSITS], f"""SELECT 'tradeactivities' AS table_name, if(client_id IN {IN_EVENTS}, 'silver', 'waiting') AS state,
        client_id, trade_time AS at, CAST(trade_volume AS DECIMAL(18,8)) AS amount FROM ({latest_trades('bt')})
 UNION ALL SELECT 'deposits', if(client_id IN {IN_EVENTS}, 'silver', 'waiting'), client_id, deposit_time, CAST(deposit_amount AS DECIMAL(18,8))
 FROM ({latest_deposits('bd')})"""),

@@ -21,14 +21,14 @@ from strata.operators.paging import PagedTable
 from strata.plans import gold, reports, silver
 from strata.sources import fixtures as fx
 from strata.sources import pages
-from strata.session import materialize, work_dir
+from strata.session import work_dir
 
 # The fixture clocks and batch boundaries used by the queries.
 AS_OF = fx.AS_OF
 NOW1 = dt.datetime(2001, 8, 1)
 NOW2 = dt.datetime(2001, 8, 2)
 SLICE = ("2000-01-01 00:00:00", "2000-04-01 00:00:00")
-SLICE_CLIENT = "7"
+SLICE_CLIENT = "20"
 LOOKBACK_DAYS = 365
 DT_UNIT = "year"    # landing folders per year: the fixture history spans years
 PAGE_NO, PAGE_ROWS = 3, 100
@@ -53,17 +53,13 @@ class Layers:
     built once per query, so every branch of a plan uses the same subplan
     and Spark reuses its exchanges instead of recomputing them."""
 
-    def __init__(self, spark: SparkSession, sf: str, now=NOW1, store_silver: bool = False):
-        self.spark, self.sf, self.now, self.store_silver = spark, sf, now, store_silver
+    def __init__(self, spark: SparkSession, sf: str, now=NOW1):
+        self.spark, self.sf, self.now = spark, sf, now
         self._memo: dict[str, DataFrame] = {}
 
-    def _get(self, name, build, stored: bool = False):
+    def _get(self, name, build):
         if name not in self._memo:
-            df = build()
-            # Silver tables are stored tables in the layer jobs; when a query
-            # reads one several times, compute it once into the checkpoint
-            # folder instead of re-running its dedupe in every branch.
-            self._memo[name] = materialize(df) if stored and self.store_silver else df
+            self._memo[name] = build()
         return self._memo[name]
 
     def bronze_customers(self): return self._get("bc", lambda: fx.customers(self.spark, self.sf))
@@ -72,17 +68,16 @@ class Layers:
     def bronze_assets(self): return self._get("ba", lambda: fx.assets(self.spark, self.sf))
 
     def affiliates(self):
-        return self._get("sa", lambda: silver.build_affiliates(self.bronze_customers(), self.now), True)
+        return self._get("sa", lambda: silver.build_affiliates(self.bronze_customers(), self.now))
 
     def clients(self):
-        return self._get("sc", lambda: silver.build_clients(self.bronze_customers(), self.now), True)
+        return self._get("sc", lambda: silver.build_clients(self.bronze_customers(), self.now))
 
     def trades(self):
-        return self._get("st", lambda: silver.build_trades(self.bronze_trades(), self.clients(), self.now)[0], True)
+        return self._get("st", lambda: silver.build_trades(self.bronze_trades(), self.clients(), self.now)[0])
 
     def deposits(self):
-        return self._get("sd", lambda: silver.build_deposits(self.bronze_deposits(), self.clients(), self.now)[0],
-                         True)
+        return self._get("sd", lambda: silver.build_deposits(self.bronze_deposits(), self.clients(), self.now)[0])
 
     def performance(self):
         return gold.gold_performance(self.affiliates(), self.clients(), self.trades(), AS_OF)
@@ -181,8 +176,7 @@ def q_bronze_insert_ignore(spark, sf):
                F.col("deposit_coin").asc()]
     b1 = _before(dep, "deposit_time", SPLITS["deposits"][0]).withColumn("load_batch", F.lit(1))
     b2 = _from(dep, "deposit_time", SPLITS["deposits"][1]).withColumn("load_batch", F.lit(2))
-    empty = b1.limit(0)
-    t1 = dedupe.insert_ignore(empty, b1, ["order_id"], arrival)
+    t1 = dedupe.insert_ignore(None, b1, ["order_id"], arrival)
     delta2 = dedupe.insert_ignore(t1, b2, ["order_id"], arrival)
     return t1.unionByName(delta2)
 
@@ -266,7 +260,7 @@ def q_new_customers_anti(spark, sf):
 def _fk(spark, sf):
     """All trades against the clients of the event feed, to which most traders are unknown."""
     tr = fx.trades(spark, sf, lineage=False).select("client_id", "trade_time", "trade_volume")
-    return quality.fk_split(tr, silver.build_clients(fx.customers_from_events(spark, sf), NOW1), ["client_id"])
+    return quality.fk_split(tr, silver.build_clients(fx.customers_from_events(spark, sf), NOW1), ["client_id"], prefilter=True)
 
 
 def q_fk_valid(spark, sf):
@@ -519,7 +513,7 @@ def q_check_constraints(spark, sf):
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("violations")) \
         .select(F.lit("order_id_unique").alias("constraint_name"), "violations")
     known = silver.build_clients(fx.customers_from_events(spark, sf), NOW1)
-    fk = quality.fk_split(d, known, ["client_id"])[1].agg(F.count(F.lit(1)).alias("violations")) \
+    fk = quality.fk_split(d, known, ["client_id"], prefilter=True)[1].agg(F.count(F.lit(1)).alias("violations")) \
         .select(F.lit("client_id_known").alias("constraint_name"), "violations")
     return row_checks.unionByName(pk).unionByName(fk)
 

@@ -86,15 +86,6 @@ KEYS = {
     "tradeactivities": ["client_id", "trade_time"],
 }
 
-DQ_LOG = _struct(
-    ("table_name", S, False), ("check_timestamp", TS, False), ("total_records", T.LongType(), False),
-    ("null_percentages", T.MapType(S, T.DoubleType()), False),
-    ("duplicate_percentage", T.DoubleType(), False), ("validation_passed", T.BooleanType(), False),
-    ("issues", T.ArrayType(S), True))
-
-# Allowed bronze load states.
-LOAD_STATUSES = ["SUCCESS", "ERROR", "PARTIAL"]
-
 # Endpoint -> bronze table, and the arrival order that decides
 # which row of a batch is "first" for insert-once tables.
 ENDPOINT_TABLES = {"customer_list": "bronze_customers", "deposits": "bronze_deposits",

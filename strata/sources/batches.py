@@ -37,6 +37,16 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def _read_text(spark: SparkSession, path: str) -> str:
+    """A small file, read by the driver itself: no Spark job for a line."""
+    fs, jpath, jvm = _fs(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file under another name, then rename it into place over what stands there."""
     fs, target, jvm = _fs(spark, path)
@@ -63,8 +73,8 @@ class CommitLog:
         singles = sorted(n for n in names if not n.endswith(".compact.json"))
         out: dict[int, dict] = {}
         for name in ([compact] if compact else []) + singles:    # a single commit is newer than the compact file
-            for line in self.spark.read.text(f"{self.path}/{name}").collect():
-                one = json.loads(line.value)
+            for line in _read_text(self.spark, f"{self.path}/{name}").splitlines():
+                one = json.loads(line)
                 out[one["batch"]] = one
         return out
 
@@ -163,5 +173,4 @@ class BatchTable:
 
 def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that Spark gave the streaming query of a checkpoint folder: a new checkpoint is a new query."""
-    line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()[0].value
-    return json.loads(line)["id"]
+    return json.loads(_read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]

@@ -13,6 +13,12 @@ from strata.sources import fixtures as fx
 from strata.streaming import ingest
 from strata_testing import SF_SMALL, T
 
+@pytest.fixture(autouse=True)
+def few_buckets(monkeypatch):
+    """Small tables need no 64 folders."""
+    monkeypatch.setattr(jobs, "SILVER_BUCKETS", 2)
+
+
 ASSETS = "affiliate_id string, client_id string, balance decimal(20,8), update_time timestamp_ntz, remark string"
 
 

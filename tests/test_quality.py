@@ -71,3 +71,26 @@ def test_counts_consistent_and_constraints(spark):
     assert got == [True, False, True, False]
     v = quality.constraint_violations(df, {"t_present": F.col("t").isNotNull(), "s_ge_0": F.col("s") >= 0})
     assert {r.constraint_name: r.violations for r in v.collect()} == {"t_present": 1, "s_ge_0": 2}
+
+
+def test_key_filter_gives_the_same_split_and_rejects_most_orphans_before_the_join(spark):
+    parent = spark.range(0, 4000, 2).select(F.col("id").cast("string").alias("k"))
+    child = spark.range(0, 6000).select(F.when(F.col("id") % 50 != 0, F.col("id").cast("string")).alias("k"), "id")
+    plain, filtered = (quality.fk_split(child, parent, ["k"], prefilter=p) for p in (False, True))
+    for a, b in zip(plain, filtered):
+        assert sorted(r.id for r in a.collect()) == sorted(r.id for r in b.collect())
+    table, words = quality.key_filter(parent, ["k"])
+    assert table.count() <= words == 2000 * quality.FILTER_BITS // 64
+    probed = child.withColumn("w", quality._filter_word(["k"], words)).join(table, F.col("w") == table["__word"], "left")
+    passed = probed.filter(F.col("__bits").bitwiseAND(quality._filter_mask(["k"])) == quality._filter_mask(["k"])).filter("k is not null")
+    wrong = passed.join(parent, "k", "left_anti").count()
+    assert passed.join(parent, "k", "left_semi").count() == plain[0].count() and wrong < 0.06 * child.count()
+    assert quality.fk_split(child, parent.limit(0), ["k"], prefilter=True)[0].count() == 0
+
+
+def test_key_filter_beyond_its_bound_is_not_built(spark, monkeypatch):
+    monkeypatch.setattr(quality, "MAX_FILTER_WORDS", 10)
+    parent, child = spark.range(1000).selectExpr("id as k"), spark.range(990, 1010).selectExpr("id as k")
+    assert quality.key_filter(parent, ["k"]) is None
+    valid, orphans = quality.fk_split(child, parent, {"k": "k"}, prefilter=True)
+    assert (valid.count(), orphans.count()) == (10, 10)
