@@ -40,7 +40,12 @@ MARKS = ("ad ads advert advertisement advertising banner breadcrumb breadcrumbs
          "toolbar widget widgets alert banner complementary contentinfo search").split()
 LAYOUT = {"has", "with", "no", "without", "layout", "page", "main", "wrapper", "container"}
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|[^<]+|<""", re.S)
+COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:"[^"]*"|'[^']*'|[^'">])*+)>""")
+# The same without a look at quotes, for pages with a quote that nothing closes.
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+TAG_START = re.compile(r"</?[a-zA-Z]")
+TEXT = re.compile(r"[^<]+|<")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 MARK_SET = frozenset(MARKS)
@@ -64,15 +69,22 @@ def unwanted(tag: str, attributes: str) -> bool:
 
 
 class Page:
-    """Elements in page order (parent, tag, points) and the blocks of text under them."""
+    """Elements in page order (parent, tag, points) and the blocks of text under them.
+
+    Every step is linear in the page: an element knows its depth, its nearest
+    block and whether it lies in a link, and an end that was not found once
+    (``>``, ``]]>``, a closing quote) is not looked for again.
+    """
 
     def __init__(self, source: str, by_name: bool = True):
         self.parent, self.tag, self.out = [-1], ["#root"], [False]
         self.blocks: list[tuple[int, str, int]] = []     # element, text, characters in links
+        self._block, self._linked, self._depth = [0], [False], [0]
         self._text: list[str] = []
         self._links = 0
         self._at = 0
         self._open = [0]
+        self._depths: dict[str, list[int]] = {}          # where elements of a name stand open
         self._parse(source, by_name)
 
     def _flush(self) -> None:
@@ -83,68 +95,87 @@ class Page:
             self._text, self._links = [], 0
 
     def _close_to(self, depth: int) -> None:
-        del self._open[depth:]
+        while len(self._open) > depth:
+            self._depths[self.tag[self._open.pop()]].pop()
 
     def _parse(self, source: str, by_name: bool) -> None:
-        at, end = 0, len(source)
+        at, end, tag_of, cdata, closes = 0, len(source), TAG, True, True
         while at < end:
-            m = TOKEN.match(source, at)
-            at = m.end()
-            name = m[2]
-            if name is None:
-                if source[m.start()] != "<" or m.end() - m.start() == 1:
-                    self._add(m[0])
-                continue
-            tag = name.lower()
-            if m[1]:
-                self._end(tag)
-                continue
-            self._begin(tag, m[3], by_name)
-            if tag in RAW:   # its content is not markup: go to its end tag, or to the end of the page
-                close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(source, at)
-                at = close.start() if close else end
+            begin = at
+            if source[at] == "<" and closes:
+                if source.startswith("<!--", at):
+                    at = COMMENT.match(source, at).end()
+                    continue
+                if cdata and source.startswith("<![CDATA[", at):
+                    close = source.find("]]>", at)
+                    cdata = close >= 0
+                    if cdata:
+                        at = close + 3
+                        continue
+                if source[at + 1:at + 2] in ("!", "?") and at + 1 < end:
+                    close = source.find(">", at)
+                    closes = close >= 0
+                    if closes:
+                        at = close + 1
+                        continue
+                elif source[at + 1:at + 2] == "/" or source[at + 1:at + 2].isalpha():
+                    m = tag_of.match(source, at)
+                    if m is None and tag_of is TAG and TAG_START.match(source, at):
+                        tag_of = PLAIN_TAG       # the page ended inside the tag or inside its quotes
+                        m = tag_of.match(source, at)
+                    if m is None and TAG_START.match(source, at):
+                        closes = False
+                    if m is not None:
+                        at = m.end()
+                        tag = m[2].lower()
+                        if m[1]:
+                            self._end(tag)
+                            continue
+                        self._begin(tag, m[3], by_name)
+                        if tag in RAW:   # its content is not markup: go to its end tag, or to the end of the page
+                            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(source, at)
+                            at = close.start() if close else end
+                        continue
+            at = TEXT.match(source, begin).end() if closes else end     # without a ">" ahead the rest is text
+            self._add(source[begin:at])
 
     def _add(self, text: str) -> None:
         top = self._open[-1]
         if self.out[top]:
             return
         if not self._text:
-            block = len(self._open) - 1
-            while block and self.tag[self._open[block]] in INLINE:
-                block -= 1
-            self._at = self._open[block]
+            self._at = self._block[top]
         self._text.append(text)
-        if any(self.tag[i] == "a" for i in self._open):
+        if self._linked[top]:
             self._links += len(text.strip())
 
     def _begin(self, tag: str, attributes: str, by_name: bool) -> None:
         if tag not in INLINE:
             self._flush()
-            for depth in range(len(self._open) - 1, 0, -1):
-                kind = self.tag[self._open[depth]]
-                if kind == "p" or kind == tag and tag in CLOSED_BY_ITSELF:
-                    self._close_to(depth)
-                    break
-                if kind not in INLINE:
-                    break
+            block = self._block[self._open[-1]]
+            kind = self.tag[block]
+            if block and (kind == "p" or kind == tag and tag in CLOSED_BY_ITSELF):
+                self._close_to(self._depth[block])
         if tag in VOID:
             return
-        self.parent.append(self._open[-1])
+        top, new = self._open[-1], len(self.tag)
+        self.parent.append(top)
         self.tag.append(tag)
-        self.out.append(self.out[self._open[-1]] or tag in DROPPED or by_name and unwanted(tag, attributes))
+        self.out.append(self.out[top] or tag in DROPPED or by_name and unwanted(tag, attributes))
+        self._block.append(self._block[top] if tag in INLINE else new)
+        self._linked.append(self._linked[top] or tag == "a")
+        self._depth.append(len(self._open))
         if not attributes.rstrip().endswith("/") or tag not in ("svg", "path"):
-            self._open.append(len(self.tag) - 1)
+            self._depths.setdefault(tag, []).append(len(self._open))
+            self._open.append(new)
 
     def _end(self, tag: str) -> None:
         if tag not in INLINE:
             self._flush()
-        for depth in range(len(self._open) - 1, 0, -1):
-            kind = self.tag[self._open[depth]]
-            if kind == tag:
-                self._close_to(depth)
-                return
-            if tag in INLINE and kind not in INLINE:
-                return
+        at = self._depths.get(tag)
+        # An inline element is not closed across the block that it lies around.
+        if at and (tag not in INLINE or at[-1] > self._depth[self._block[self._open[-1]]]):
+            self._close_to(at[-1])
 
     def finish(self) -> None:
         self._flush()
@@ -163,11 +194,14 @@ def best_text(page: Page) -> str:
         points[holder] += worth
         if page.parent[holder] >= 0:
             points[page.parent[holder]] += worth / 2
-        while at >= 0:
-            worths[at] += worth
-            chars[at] += len(text)
-            links[at] += linked
-            at = page.parent[at]
+        worths[at] += worth
+        chars[at] += len(text)
+        links[at] += linked
+    for i in range(n - 1, 0, -1):   # children come last
+        up = page.parent[i]
+        worths[up] += worths[i]
+        chars[up] += chars[i]
+        links[up] += links[i]
     score, value = ([p * (1 - links[i] / chars[i]) if chars[i] else 0.0 for i, p in enumerate(x)] for x in (points, worths))
     best = max(range(n), key=lambda i: (score[i], -i))
     up = best

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,3 +74,22 @@ MENU = "<div><ul><li><a href=1>one</a></li><li>|</li><li><a href=2>two</a></li><
 ])
 def test_nested_text_is_whole_and_menus_are_left_out(page, want):
     assert main_text(page) == " ".join(want.split())
+
+
+MB = 1 << 20
+
+
+@pytest.mark.parametrize("unit", [
+    "<a", "<a ", "<a href=\"", "\"<a\" ", "<![CDATA[", "<!", "<?x ", "</", "</b>", "<b>x", "<div>x", "<i><b>", "<div><b>x</i>", "<p>x<br>", "<!--",
+    "see < it ", "<li>x", "<a href='x'>y", "&amp", "<td><table>"])
+def test_a_megabyte_of_anything_takes_seconds(unit):
+    began = time.process_time()
+    main_text("<article>" + unit * (MB // len(unit)))
+    main_text("<div><p>words, words</p>" + unit * (MB // len(unit)) + "\">")
+    main_text("see <" + unit * 20 + "x" * MB)
+    assert time.process_time() - began < 40
+
+
+def test_broken_quotes_lose_no_text():
+    assert main_text("<p>one</p><a title=\"x>two</a><p>three</p>") == "one two three"
+    assert main_text("<p>one</p><p title='x'>two <a href='y>three</a></p>") == "one two three"
