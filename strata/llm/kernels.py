@@ -23,6 +23,7 @@ LOWER[65:91] += 32
 
 _rng = np.random.default_rng(20240229)
 _BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+SECOND_CODE = np.random.default_rng(71).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 _powers: dict[str, np.ndarray] = {}
@@ -92,11 +93,18 @@ def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = IS_SPACE):
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span, wherever it stands in the buffer."""
-    up, down = powers(len(data) + 1)
+def prefix_sums(data: np.ndarray, code: np.ndarray = _BYTE_CODE) -> np.ndarray:
+    """Sums of the bytes' codes, weighted by their place; a span's hash is the difference of two."""
+    up, _ = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_CODE[data] * up[:len(data)], out=sums[1:])
+    np.cumsum(code[data] * up[:len(data)], out=sums[1:])
+    return sums
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, code: np.ndarray = _BYTE_CODE) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span, wherever it stands in the buffer; another ``code`` gives another hash."""
+    _, down = powers(len(data) + 1)
+    sums = prefix_sums(data, code)
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 

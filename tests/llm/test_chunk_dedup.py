@@ -101,7 +101,40 @@ def test_insertion_moves_only_near_boundaries():
     assert len(cut[0] - cut[1]) <= 4
 
 
-def test_slices_do_not_matter():
-    texts = pa.array([words(random.Random(k), 50) for k in range(20)])
-    whole = [h for _, d, o in kernels.slices(texts) for h in C.chunk_ends(d, o)]
-    assert whole
+def test_slices_do_not_matter(docs_of, monkeypatch):
+    rng = random.Random(3)
+    passage = words(rng, 80)
+    rows = [(k, words(rng, 30) + " " + passage) for k in range(12)]
+    texts = pa.array([t for _, t in rows])
+
+    def ends(limit):
+        return [(at + r, int(e - o[r])) for at, d, o in kernels.slices(texts, limit) for e in C.chunk_ends(d, o)
+                for r in [int(np.searchsorted(o, e, side="left")) - 1]]
+    assert ends(1 << 20) == ends(900) == ends(1)
+
+
+def test_documents_are_counted_once_and_with_first_holder(docs_of):
+    rng = random.Random(12)
+    passage, other = words(rng, 80), words(rng, 60)
+    twice = f"{passage} {words(rng, 5)} {passage}"
+    rows = [(3, twice), (5, passage + " " + other), (9, other)]
+    out = C.repeated_passages(docs_of(rows)).collect()
+    assert {r.n_docs for r in out if r.doc_id == 3} == {2}           # twice in one text is one document
+    assert all(r.n_bytes == r.end - r.begin and r.n_docs == 2 for r in out)
+    assert {(r.doc_id, r.first_doc_id) for r in out} == {(3, 3), (5, 3), (5, 5), (9, 5)}
+
+
+def test_texts_that_share_an_id_are_cut_apart(docs_of):
+    rng = random.Random(13)
+    passage, mine = words(rng, 90), words(rng, 120)
+    rows = [(1, passage), (2, words(rng, 40) + " " + passage), (2, mine)]
+    kept = sorted(r.text for r in C.remove_repeats(docs_of(rows)).collect())
+    assert mine in kept and passage in kept                          # what repeats nowhere stays whole
+    assert not any(passage[150:300] in t for t in kept if t != passage)
+
+
+def test_equal_hashes_do_not_make_equal_chunks():
+    data = np.frombuffer(b"abcdefgh" * 40, dtype=np.uint8)
+    starts, ends = np.array([0, 8, 3]), np.array([30, 38, 33])
+    one, two = kernels.span_hashes(data, starts, ends), kernels.span_hashes(data, starts, ends, kernels.SECOND_CODE)
+    assert one[0] == one[1] != one[2] and two[0] == two[1] != two[2] and set(one) & set(two) == set()
