@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.tables import materialize
+from strata.llm.tables import materialize, stored, without_keys
 
 WINDOW = 10
 BROADCAST_WINDOWS = 100_000   # most windows that are sent to every task at once, some 50 MB
@@ -60,22 +60,24 @@ def prefixes(docs: DataFrame, windows: DataFrame) -> DataFrame:
                        .filter("whole and rank = 1").select("word", "skip", "window", "item_ids"))
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, key: str | None = None) -> DataFrame:
     """``row_id, doc_id, n_words`` of every document: one row of null ``begin,
     length, item_ids``, and one per place where a window occurs.
 
     The windows are broadcast; when there are more than
     ``BROADCAST_WINDOWS``, in several rounds of that many, each of which
-    reads the documents once more.
+    reads the documents once more.  Rows are told apart by the column ``key``,
+    or else by numbers, which are written down first if they are read more than once.
     """
     found = prefixes(docs, item_windows(benchmark, size))
     rounds = max(1, -(-found.count() // BROADCAST_WINDOWS))
     itself = docs.sparkSession.range(1).select(
         F.lit(NO_WORD).alias("word"), F.lit(None).cast("int").alias("skip"),
         F.lit(None).cast("array<string>").alias("window"), F.lit(None).cast("array<string>").alias("item_ids"))
-    texts = docs.select("doc_id", F.concat(words_of(F.col("text")), F.array(F.lit(NO_WORD))).alias("w"))
-    texts = texts.withColumn("row_id", F.monotonically_increasing_id())
-    tokens = texts.select("row_id", "doc_id", "w", F.posexplode("w").alias("at", "word"))
+    texts = docs.select((F.col(key) if key else F.monotonically_increasing_id()).alias("row_id"), "doc_id", "text")
+    texts = stored(texts, "numbered-texts") if rounds > 1 and not key else texts
+    words = texts.select("row_id", "doc_id", F.concat(words_of(F.col("text")), F.array(F.lit(NO_WORD))).alias("w"))
+    tokens = words.select("row_id", "doc_id", "w", F.posexplode("w").alias("at", "word"))
     fits = (F.col("at") >= F.col("skip")) & (F.col("at") - F.col("skip") + F.size("window") < F.size("w"))
     same = F.slice("w", F.col("at") - F.col("skip") + 1, F.size("window")) == F.col("window")
     out = None
@@ -90,7 +92,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Da
     return out
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, key: str | None = None) -> DataFrame:
     """One row per input row: ``doc_id, n_words, n_hit, item_ids, contaminated``.
 
     ``n_hit`` counts the document words inside any occurrence of a window;
@@ -103,7 +105,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     reach = F.max(F.col("begin") + F.col("length")).over(by_row.rowsBetween(Window.unboundedPreceding, -1))
     # Words that an occurrence adds: those after the furthest end so far.
     fresh = F.greatest(F.col("begin") + F.col("length") - F.greatest(F.col("begin"), F.coalesce(reach, F.lit(0))), F.lit(0))
-    return (occurrences(docs, benchmark, size)
+    return (occurrences(docs, benchmark, size, key)
             .withColumn("fresh", F.when(F.col("begin").isNull(), 0).otherwise(fresh))
             .groupBy("row_id").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
                                    F.sum("fresh").cast("long").alias("n_hit"),
@@ -112,6 +114,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``docs`` without the documents in which any window occurs; rows with a null id stay."""
-    gone = contamination(docs, benchmark, size).filter("contaminated").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` in which no window occurs.  Each row is judged by its text, by 128 bits of which it
+    is known again, whatever its id; so no copy of the documents is written and no group is formed."""
+    text_key = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    found = occurrences(docs.select(text_key.alias("key"), F.lit(None).cast("long").alias("doc_id"), "text"), benchmark, size, key="key")
+    keyed = docs.select(text_key.alias("key"), F.struct("*").alias("row"))
+    return without_keys(keyed, found.filter("begin is not null").select(F.col("row_id").alias("key")).distinct())

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.tables import materialize
+from strata.llm.tables import materialize, numbered, without_keys
 
 TRACKED = 1024        # counters of the summary, and so the most rows that are broadcast
 SUMMARY_GROUPS = 256  # summaries are merged in this many groups before the last merge
@@ -70,6 +70,10 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tr
 
 
 def drop_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` without the copies (ids are taken to be unique)."""
-    gone = exact_groups(docs, text, doc_id).filter("not kept").select(F.col("doc_id").alias(doc_id))
-    return docs.join(gone, doc_id, "left_anti").select(docs.columns)
+    """The rows of ``docs`` without the copies: of equal texts one row stays, that of the smallest id (null ids last)."""
+    keyed = numbered(docs, "copy-rows")
+    digest = F.sha2(normalised(F.col(f"row.`{text}`")), 256)
+    place = F.struct(F.col(f"row.`{doc_id}`").isNull(), F.col(f"row.`{doc_id}`"), F.col("key").alias("key"))
+    rows = materialize(keyed.select("key", digest.alias("digest"), place.alias("place")))
+    stays = rows.groupBy("digest").agg(F.min("place").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    return without_keys(keyed, rows.join(stays, "digest").filter("key != first.key"))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import kernels
 from strata.llm.components import components
-from strata.llm.tables import materialize, stored
+from strata.llm.tables import materialize, numbered, stored, without_keys
 
 BANDS, ROWS = 25, 5     # a pair at similarity 0.8 shares no band with probability 5e-5, at 0.85 4e-7
 MISS = 1e-6             # chosen probability of pruning a pair that reaches the threshold
@@ -336,6 +336,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, text: str
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component, all columns kept; rows without an id stay."""
-    gone = near_duplicates(docs, size, percent).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` with one row of each component, that of the smallest id; all columns kept, rows without an id stay.
+
+    Every row is a document of its own, so texts that share an id are judged apart.
+    """
+    keyed = numbered(docs, "near-rows")
+    ids = keyed.filter("row.doc_id is not null").select("key", F.col("row.doc_id").alias("id"), "row.text")
+    found = (near_duplicates(ids.select(F.col("key").alias("doc_id"), "text"), size, percent)
+             .select(F.col("doc_id").alias("key"), F.col("component_id").alias("component")).join(ids.select("key", "id"), "key"))
+    groups = materialize(found)
+    stays = groups.groupBy("component").agg(F.min(F.struct("id", "key")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    return without_keys(keyed, groups.join(stays, "component").filter("key != first.key"))

@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 from strata.llm import kernels
 from strata.session import materialize, work_dir
 
-__all__ = ["materialize", "read", "stored", "word_count", "crc_remainder", "rounded_partitions"]
+__all__ = ["materialize", "read", "stored", "numbered", "without_keys", "word_count", "crc_remainder"]
+
+BROADCAST_KEYS = 1_000_000   # row keys of 8 or 16 bytes
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,8 +28,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def rounded_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``key`` (a number of its own for every row) and ``row`` (all columns, whatever their names), written once,
+    so that null and repeated ids are rows like any other and every reader sees the same numbers."""
+    return stored(docs.select(F.monotonically_increasing_id().alias("key"), F.struct("*").alias("row")), name)
+
+
+def without_keys(keyed: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of documents as ``key`` and ``row`` without the keys ``gone``, which are broadcast up to ``BROADCAST_KEYS``."""
+    gone = materialize(gone.select("key"))
+    return keyed.join(F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone, "key", "left_anti").select("row.*")
 
 
 def crc_remainder(doc_id: str | Column, modulus: int) -> Column:

@@ -65,6 +65,15 @@ def test_odd_rows(spark, docs_of, monkeypatch):
     assert all(hashlib.sha256(b"").hexdigest() for _ in none)
 
 
+def test_dropping_takes_rows_not_ids(spark, docs_of):
+    item = " ".join(f"w{i}" for i in range(12))
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, "clean text"), (1, f"x {item} y"), (None, item), (None, "clean too"), (2, None), (2, item), (3, "w1 w2 w3")]
+    out = decontaminate.drop_contaminated(docs_of(rows, {"key": F.lit(1), "row": F.lit(2), "n_hit": F.lit(3)}), benchmark)
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(
+        [(1, "clean text"), (None, "clean too"), (2, None), (3, "w1 w2 w3")], key=str)
+
+
 def test_plan_has_no_python(spark):
     plan = queries.op8_decontaminate(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

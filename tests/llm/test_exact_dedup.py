@@ -44,6 +44,12 @@ def test_empty_table_and_dropping(docs_of):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
+def test_dropping_takes_rows_not_ids(docs_of):
+    rows = [(1, "A"), (1, "A"), (2, "B"), (None, "B"), (None, "C"), (None, "C"), (2, "A"), (5, None), (4, " "), (4, "")]
+    kept = sorted(((r.doc_id, r.text) for r in exact_dedup.drop_copies(docs_of(rows, {"key": F.lit(0), "row": F.lit("r"), "n": F.lit(1)})).collect()), key=str)
+    assert kept == sorted([(1, "A"), (2, "B"), (None, "C"), (4, " "), (4, "")], key=str)
+
+
 def test_plan_has_no_python(spark):
     plan = queries.op10_exact_dedup(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

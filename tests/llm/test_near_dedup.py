@@ -144,3 +144,11 @@ def test_pruning_keeps_pairs_at_the_threshold():
     need = near_dedup.least_matches(85)
     equal = (rng.random((200_000, 125)) < 0.85 + 0.15 / 256).cumsum(axis=1)[:, 24::25]
     assert (equal < need).any(axis=1).sum() <= 3
+
+
+def test_dropping_takes_rows_not_ids(docs_of):
+    rng = random.Random(6)
+    a, b, c = (" ".join("".join(rng.choice("abcdefg") for _ in range(5)) for _ in range(60)) for _ in range(3))
+    rows = [(5, a), (7, a), (5, b), (2, b), (9, c), (9, c), (None, c), (3, None), (3, None)]
+    kept = near_dedup.drop_near_duplicates(docs_of(rows, {"key": F.lit(1), "row": F.lit(2), "component": F.lit(3)}))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(5, a), (2, b), (9, c), (None, c), (3, None), (3, None)], key=str)
