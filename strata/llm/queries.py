@@ -144,6 +144,23 @@ SELECT part, filter_order, step,
 FROM hit GROUP BY part, filter_order, step
 """
 
+# Texts are cut into overlapping blocks first, as taking a piece of a blob costs its whole length.
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, encode(coalesce(text, '')) AS b FROM documents),
+blocks AS (SELECT r, doc_id, s, b[s + 1:s + 599] AS b FROM (SELECT r, doc_id, b, unnest(range(0, octet_length(b) - 99, 500)) AS s FROM d WHERE octet_length(b) >= 100)),
+w AS (SELECT r, doc_id, s + k AS s, row_number() OVER (PARTITION BY b[k + 1:k + 100] ORDER BY doc_id, s + k) > 1 AS again
+      FROM (SELECT r, doc_id, s, b, unnest(range(0, octet_length(b) - 99)) AS k FROM blocks)),
+marks AS (SELECT r, s, coalesce(s > lag(s) OVER (PARTITION BY r ORDER BY s) + 100, TRUE) AS starts FROM w WHERE again),
+runs AS (SELECT r, s, sum(starts::INT) OVER (PARTITION BY r ORDER BY s) AS run FROM marks),
+spans AS (SELECT r, run, min(s) AS a, max(s) + 100 AS e FROM runs GROUP BY r, run),
+pieces AS (SELECT r, a, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+cut AS (SELECT r, sum(e - a)::BIGINT AS n_removed, count(*) AS n_spans, max(e) AS last,
+               string_agg(hex(b[before + 1:a]), '' ORDER BY a) AS kept FROM pieces JOIN d USING (r) GROUP BY r)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(CASE WHEN n_spans IS NULL THEN b ELSE unhex(kept || hex(b[last + 1:octet_length(b)])) END) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""
+
 
 def oracle() -> dict[str, str]:
-    return {"op8_decontaminate": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op11_filter_audit": OP11_SQL}
+    return {"op8_decontaminate": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op11_filter_audit": OP11_SQL, "op12_suffix_dedup": OP12_SQL}
