@@ -34,7 +34,11 @@ STATES = 8
 FREQUENT = 8192           # a word with one in so many of the tokens is its own class: at most so many words
 ENDINGS = 2048            # classes of the other words
 BLOCK_BYTES = 2 << 20     # text per block
-PART_TOKENS = 1 << 17     # tokens of whole texts for which a task holds the states of a recursion at once
+CHUNK = 640               # tokens of a long text that are worked on in one piece, side by side with its others
+GATHER = 1 << 21          # training tokens that a task brings together
+PART_TOKENS = 1 << 19     # tokens of chunks for which a task holds the states of a recursion at once
+SUM_GROUPS = 256          # groups of tasks whose counts are summed first
+STAY = 0.98               # chance of staying in a state, at the start
 GAIN = 0.001              # training ends when a round adds less to the mean log10 likelihood of a token
 SMOOTHING = 0.1           # of the unigram counts
 PRIOR = 50.0              # pseudo-tokens of the unigram distribution in each state's classes
@@ -122,8 +126,9 @@ class Model:
         rng = np.random.default_rng(seed)
         self.mass, self.frequent = mass, frequent       # unigram mass of each class; sorted hashes of the first classes
         self.start = np.full(STATES, 1 / STATES)
-        self.move = np.full((STATES, STATES), 0.1 / (STATES - 1)) + np.eye(STATES) * (0.9 - 0.1 / (STATES - 1))
-        theta = mass * rng.uniform(0.5, 1.5, (STATES, len(mass)))
+        # States that last, with words of their own: fewer rounds are lost before they part.
+        self.move = np.full((STATES, STATES), (1 - STAY) / (STATES - 1)) + np.eye(STATES) * (STAY - (1 - STAY) / (STATES - 1))
+        theta = mass * np.exp(rng.standard_normal((STATES, len(mass))))
         theta *= ((1 - mass[-1]) / np.maximum(theta[:, :-1].sum(axis=1), 1e-300))[:, None]
         self.factor = np.divide(theta, mass, out=np.ones_like(theta), where=mass > 0)
         self.factor[:, -1] = 1.0                        # unknown words tell the states nothing
@@ -146,70 +151,146 @@ class Model:
         self.factor[:, :-1] = np.divide(theta, self.mass[:-1], out=np.ones_like(theta), where=self.mass[:-1] > 0)
 
 
-def grid(seq: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sequences longest first, as a table (position, sequence) and how many are alive at each position."""
-    order = np.argsort(-n, kind="stable")
-    start = (np.cumsum(n) - n)[order]
-    n = n[order]
-    alive = np.searchsorted(-n, -np.arange(1, (n[0] if len(n) else 0) + 1), side="right")
-    return order, start, alive
+class Chunks:
+    """Sequences cut into chunks of at most ``size`` tokens, so that long ones are worked on side by side.
 
+    Nothing is lost at the cuts: what the states are there is computed first,
+    from the product of each chunk's transition matrices.
+    """
 
-def forward(model: Model, seq: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """log10 of the factors' likelihood of each sequence of classes, by the scaled forward recursion."""
-    order, start, alive = grid(seq, n)
-    factor = np.ascontiguousarray(model.factor.T)
-    total, state = np.zeros(len(n)), None
+    def __init__(self, n: np.ndarray, size: int):
+        self.count = -(-n // size)
+        self.owner = np.repeat(np.arange(len(n)), self.count)
+        self.nth = np.arange(len(self.owner)) - np.repeat(np.cumsum(self.count) - self.count, self.count)
+        self.begin = (np.cumsum(n) - n)[self.owner] + self.nth * size
+        self.length = np.minimum(size, n[self.owner] - self.nth * size)
+        self.last = self.nth == self.count[self.owner] - 1
+
+    def ranks(self, ahead: bool = True):
+        """Chunks that follow another, by their number in the sequence."""
+        later = np.flatnonzero(self.nth > 0)
+        later = later[np.argsort(self.nth[later], kind="stable")]
+        groups = np.split(later, np.flatnonzero(np.diff(self.nth[later])) + 1) if len(later) else []
+        return groups if ahead else groups[::-1]
+
+
+def grid(begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Chunks longest first: their order, their first tokens, and how many are alive at each position."""
+    order = np.argsort(-length, kind="stable")
+    n = length[order]
+    return order, begin[order], np.searchsorted(-n, -np.arange(1, (n[0] if len(n) else 0) + 1), side="right")
+
+
+def last_states(factor, move, seq, begin, length, enter) -> tuple[np.ndarray, np.ndarray]:
+    """State distribution after each chunk, entered with the distribution ``enter``, and log10 of its likelihood."""
+    order, start, alive = grid(begin, length)
+    out, total, x, before = np.empty_like(enter), np.zeros(len(begin)), enter[order], 0
     for t, k in enumerate(alive):
+        if k < before:
+            out[order[k:before]] = x[k:before]
         e = factor[seq[start[:k] + t]]
-        state = e * model.start if t == 0 else (state[:k] @ model.move) * e
-        scale = state.sum(axis=1)
-        state /= scale[:, None]
-        total[:k] += np.log10(scale)
-    out = np.empty(len(n))
-    out[order] = total
+        x = e * x[:k] if t == 0 else (x[:k] @ move) * e
+        c = x.sum(axis=1)
+        x /= c[:, None]
+        total[order[:k]] += np.log10(c)
+        before = k
+    out[order[:before]] = x[:before]
+    return out, total
+
+
+def transfers(factor, move, seq, begin, length) -> np.ndarray:
+    """Product of the transition and emission matrices of each chunk, up to a scale."""
+    order, start, alive = grid(begin, length)
+    states = len(move)
+    out = np.empty((len(begin), states, states), dtype=factor.dtype)
+    x, before = np.broadcast_to(np.eye(states, dtype=factor.dtype), out.shape), len(begin)
+    for t, k in enumerate(alive):
+        if k < before:
+            out[order[k:before]] = x[k:before]
+        x = (x[:k].reshape(-1, states) @ move).reshape(k, states, states) * factor[seq[start[:k] + t]][:, None, :]
+        x /= x.sum(axis=(1, 2), keepdims=True)
+        before = k
+    out[order[:before]] = x[:before]
     return out
 
 
+def entered(model: Model, factor, move, seq, chunks: Chunks, matrices: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each chunk the state distribution at the end of the one before, and the distribution it enters with."""
+    begin_state = model.start.astype(factor.dtype)
+    enter = np.tile(begin_state, (len(chunks.begin), 1))
+    after = np.zeros_like(enter)
+    heads = np.flatnonzero((chunks.nth == 0) & ~chunks.last)
+    after[heads] = last_states(factor, move, seq, chunks.begin[heads], chunks.length[heads], enter[heads])[0]
+    before = np.zeros_like(enter)
+    inner = np.flatnonzero((chunks.nth > 0) & ~chunks.last)
+    if matrices is None:
+        matrices = np.zeros((len(enter), *move.shape), dtype=factor.dtype)
+        matrices[inner] = transfers(factor, move, seq, chunks.begin[inner], chunks.length[inner])
+    for group in chunks.ranks():
+        before[group] = after[group - 1]
+        enter[group] = before[group] @ move
+        x = np.einsum("ns,nst->nt", before[group], matrices[group])
+        goes_on = ~chunks.last[group]
+        after[group[goes_on]] = x[goes_on] / x[goes_on].sum(axis=1, keepdims=True)
+    return before, enter
+
+
+def forward(model: Model, seq: np.ndarray, n: np.ndarray, size: int | None = None) -> np.ndarray:
+    """log10 of the factors' likelihood of each sequence of classes, by the scaled forward recursion."""
+    factor, chunks = np.ascontiguousarray(model.factor.T), Chunks(n, size or CHUNK)
+    _, enter = entered(model, factor, model.move, seq, chunks)
+    _, total = last_states(factor, model.move, seq, chunks.begin, chunks.length, enter)
+    return np.bincount(chunks.owner, weights=total, minlength=len(n))
+
+
 def expected(model: Model, seq: np.ndarray, n: np.ndarray):
     """Expected start, transition and class counts of whole sequences."""
     return expected_and_score(model, seq, n)[:3]
 
 
-def expected_and_score(model: Model, seq: np.ndarray, n: np.ndarray, width: int = PART_TOKENS):
-    """Expected counts, and log10 of the factors' likelihood of all sequences."""
-    first, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((len(model.mass), STATES))
-    factor = np.ascontiguousarray(model.factor.T)
-    at, score = np.cumsum(n) - n, 0.0
-    order = np.argsort(-n, kind="stable")                   # sequences of like length together
-    part_of = (np.cumsum(n[order]) - n[order]) // width     # about ``width`` tokens in memory, or one sequence
-    for mine in np.split(order, np.flatnonzero(np.diff(part_of)) + 1) if len(n) else []:
-        part = np.concatenate([seq[a:a + m] for a, m in zip(at[mine], n[mine])])
-        _, start, alive = grid(part, n[mine])
-        states, scales = [], []
+def expected_and_score(model: Model, seq: np.ndarray, n: np.ndarray, width: int | None = None, size: int | None = None, kind=np.float64):
+    """Expected counts, and log10 of the factors' likelihood of all sequences, computed in numbers of ``kind``."""
+    first, moves, emit, score = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((len(model.mass), STATES)), 0.0
+    factor, move, chunks = np.ascontiguousarray(model.factor.T.astype(kind)), model.move.astype(kind), Chunks(n, size or CHUNK)
+    later = np.flatnonzero(chunks.nth > 0)
+    matrices = np.zeros((len(chunks.begin), STATES, STATES), dtype=kind)
+    matrices[later] = transfers(factor, move, seq, chunks.begin[later], chunks.length[later])
+    before, enter = entered(model, factor, move, seq, chunks, matrices)
+    leave = np.ones_like(enter)                             # what follows the chunk, given the state at its end
+    for group in chunks.ranks(ahead=False):
+        x = np.einsum("nst,nt->ns", matrices[group], leave[group])
+        leave[group - 1] = x / (x * before[group]).sum(axis=1, keepdims=True)
+    order = np.argsort(-chunks.length, kind="stable")       # chunks of like length together
+    part_of = (np.cumsum(chunks.length[order]) - chunks.length[order]) // (width or PART_TOKENS)
+    for mine in np.split(order, np.flatnonzero(np.diff(part_of)) + 1) if len(order) else []:
+        start, alive = grid(chunks.begin[mine], chunks.length[mine])[1:]      # already longest first
+        states, scales, factors = [], [], []
         for t, k in enumerate(alive):
-            e = factor[part[start[:k] + t]]
-            x = e * model.start if t == 0 else (states[-1][:k] @ model.move) * e
+            e = factor[seq[start[:k] + t]]
+            x = e * enter[mine[:k]] if t == 0 else (states[-1][:k] @ move) * e
             c = x.sum(axis=1, keepdims=True)
-            states.append(x / c), scales.append(c)
-            score += np.log10(c).sum()
-        after, gammas, wheres = np.ones((alive[-1] if len(alive) else 0, STATES)), [], []
+            x /= c
+            states.append(x), scales.append(c), factors.append(e)
+            score += float(np.log10(c).sum(dtype=np.float64))
+        after, gammas, wheres = leave[mine[:alive[-1]]], [], []
         for t in range(len(alive) - 1, -1, -1):
             k = alive[t]
             if len(after) < k:
-                after = np.concatenate([after, np.ones((k - len(after), STATES))])
-            where = part[start[:k] + t]
-            gammas.append(states[t] * after), wheres.append(where)
+                after = np.concatenate([after, leave[mine[len(after):k]]])
+            gammas.append(states[t] * after), wheres.append(seq[start[:k] + t])
+            ahead = factors.pop()
+            ahead *= after
+            ahead /= scales[t]
             if t:
-                ahead = factor[where] * after / scales[t]
-                move += model.move * (states[t - 1][:k].T @ ahead)
-                after = ahead @ model.move.T
-        if gammas:
-            first += gammas[-1].sum(axis=0)
-            gamma, where = np.concatenate(gammas), np.concatenate(wheres)
-            for z in range(STATES):
-                emit[:, z] += np.bincount(where, weights=gamma[:, z], minlength=len(emit))
-    return first, move, emit.T, score
+                moves += move * (states[t - 1][:k].T @ ahead)
+                after = ahead @ move.T
+        inner = chunks.nth[mine] > 0
+        moves += move * (before[mine[inner]].T @ ahead[inner])
+        first += gammas[-1][~inner].sum(axis=0)
+        gamma, where = np.concatenate(gammas), np.concatenate(wheres)
+        for z in range(STATES):
+            emit[:, z] += np.bincount(where, weights=gamma[:, z], minlength=len(emit))
+    return first, moves, emit.T, score
 
 
 def training_classes(model: Model, r: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -224,24 +305,49 @@ def count_batches(model: Model):
     """Expected counts of a task, one row per state; each has the log likelihood of the task's texts."""
     def run(batches):
         sums = [np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, len(model.mass))), 0.0]
+        held, size = [], 0
+
+        def counted():
+            seq, n = (np.concatenate(x) for x in zip(*held))
+            return [x + y for x, y in zip(sums, expected_and_score(model, seq, n, kind=np.float32))]
         for r in blocks_of(batches):
-            sums = [x + y for x, y in zip(sums, expected_and_score(model, *training_classes(model, r)))]
+            seq, n = training_classes(model, r)
+            held.append((seq.astype(np.int32), n))
+            size += len(seq)
+            if size >= GATHER:      # texts of many blocks, so that many of like length stand side by side
+                sums, held, size = counted(), [], 0
+        if size:
+            sums = counted()
         first, move, emit, score = sums
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(STATES), pa.int32()), pa.array(first), pa.array(list(move), pa.list_(pa.float64())),
+            [pa.array(np.arange(STATES), pa.int32()), pa.array(np.full(STATES, TaskContext.get().partitionId() % SUM_GROUPS), pa.int32()),
+             pa.array(first), pa.array(list(move), pa.list_(pa.float64())),
              pa.array(list(emit), pa.list_(pa.float64())), pa.array(np.full(STATES, score))],
-            names=["state", "first", "move", "emit", "score"])
+            names=["state", "part", "first", "move", "emit", "score"])
     return run
 
 
 def add_counts(table: pa.Table) -> pa.Table:
-    add = lambda c: sum(np.asarray(x) for x in table[c].to_pylist())
-    return pa.table({"state": table["state"][:1], "first": [float(add("first"))],
+    """The sum of some tasks' counts of one state, one row after the other."""
+    def add(column):
+        total = None
+        for x in table[column]:
+            x = x.values.to_numpy() if isinstance(x, pa.ListScalar) else x.as_py()
+            total = x + 0.0 if total is None else total + x
+        return total
+    return pa.table({"state": table["state"][:1], "part": table["part"][:1], "first": [float(add("first"))],
                      "move": pa.array([add("move")], pa.list_(pa.float64())), "emit": pa.array([add("emit")], pa.list_(pa.float64())),
                      "score": [float(add("score"))]})
 
 
-COUNT_SCHEMA = "state int, first double, move array<double>, emit array<double>, score double"
+def summed(counts: DataFrame) -> DataFrame:
+    """One row per state: tasks are summed in ``SUM_GROUPS`` groups, then the groups, so that no
+    worker holds more than a group's rows or ``SUM_GROUPS`` sums."""
+    return (counts.groupBy("state", "part").applyInArrow(add_counts, COUNT_SCHEMA)
+            .groupBy("state").applyInArrow(add_counts, COUNT_SCHEMA))
+
+
+COUNT_SCHEMA = "state int, part int, first double, move array<double>, emit array<double>, score double"
 
 
 class Trained:
@@ -277,8 +383,7 @@ def train(docs: DataFrame) -> Trained:
     model = Model(mass, np.array([w for w, _ in own], dtype=np.uint64))
     last = -np.inf
     while True:
-        found = (blocks.mapInArrow(count_batches(model), COUNT_SCHEMA).groupBy("state").applyInArrow(add_counts, COUNT_SCHEMA)
-                 .orderBy("state").collect())                                                        # one row per state
+        found = summed(blocks.mapInArrow(count_batches(model), COUNT_SCHEMA)).orderBy("state").collect()   # one row per state
         if not found or not tokens:
             break
         model.learn(np.array([r["first"] for r in found]), np.array([r.move for r in found]), np.array([r.emit for r in found]))

@@ -112,3 +112,31 @@ def test_training_texts_are_not_cut():
     first, move, _ = hmm.expected(model, seq, lengths)
     assert lengths.tolist() == [700, 300]
     assert first.sum() == pytest.approx(2) and move.sum() == pytest.approx(998)
+
+
+@pytest.mark.parametrize("size", [1, 3, 8, 64])
+def test_chunks_change_nothing(size):
+    model, rng = small(7)
+    n = rng.integers(1, 50, 60)
+    seq = rng.integers(0, 6, n.sum())
+    model.learn(*hmm.expected(model, seq, n))
+    whole, cut = (hmm.expected_and_score(model, seq, n, width=w, size=k) for w, k in ((1 << 20, 1000), (100, size)))
+    for a, b in zip(whole, cut):
+        assert np.allclose(a, b)
+    assert np.allclose(hmm.forward(model, seq, n, 1000), hmm.forward(model, seq, n, size))
+    rough = hmm.expected_and_score(model, seq, n, size=size, kind=np.float32)
+    assert all(np.allclose(a, b, rtol=1e-3, atol=1e-3) for a, b in zip(whole, rough))
+
+
+def test_summed_counts_equal_those_of_one_task(spark, docs_of):
+    rng = np.random.default_rng(8)
+    docs = docs_of([(k, " ".join(rng.choice(["a", "b", "c", "d"], rng.integers(0, 60)))) for k in range(400)])
+    rows = docs.selectExpr("doc_id", "text", "true as train")
+    trained = hmm.train(rows.coalesce(1))
+    want = {r.state: r for r in hmm.summed(trained.blocks.coalesce(1).mapInArrow(hmm.count_batches(trained.model), hmm.COUNT_SCHEMA)).collect()}
+    blocks = rows.repartition(7).mapInArrow(hmm.token_batches, hmm.TOKEN_SCHEMA)
+    got_ = {r.state: r for r in hmm.summed(blocks.mapInArrow(hmm.count_batches(trained.model), hmm.COUNT_SCHEMA)).collect()}
+    assert want.keys() == got_.keys()
+    for z in want:
+        assert got_[z].first == pytest.approx(want[z].first, abs=1e-2) and got_[z].score == pytest.approx(want[z].score, abs=1e-1)
+        assert np.allclose(got_[z].emit, want[z].emit, atol=1e-2) and np.allclose(got_[z].move, want[z].move, atol=1e-2)
