@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.tables import materialize, numbered, stored, word_count
+from strata.llm.tables import materialize, numbered, shuffled, stored, word_count
 
 # Source weights in code point order, repeating; the share of all words to take; most repeats.
 WEIGHTS = [5, 2, 1]
@@ -144,5 +144,5 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """
     keyed = numbered(docs, "mixing-rows")
     mixed = mix_sources(keyed.select("key", "row.doc_id", "row.text", "row.source"), key="key")
-    taken = keyed.join(mixed.filter(F.size("copies") > 0).select("key", "doc_id", "copies"), "key")
+    taken = keyed.join(shuffled(mixed.filter(F.size("copies") > 0).select("key", "doc_id", "copies")), "key")
     return training_order(taken, "row").select("row.*")

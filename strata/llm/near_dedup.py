@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import kernels
 from strata.llm.components import components
-from strata.llm.tables import materialize, numbered, stored, without_keys
+from strata.llm.tables import materialize, numbered, shuffled, stored, without_keys
 
 BANDS, ROWS = 25, 5     # a pair at similarity 0.8 shares no band with probability 5e-5, at 0.85 4e-7
 MISS = 1e-6             # chosen probability of pruning a pair that reaches the threshold
@@ -249,14 +249,14 @@ def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one of ``ids``.  Up to ``BROADCAST_IDS`` ids go to the
     documents, so that only their texts are shuffled; more are joined by a shuffle."""
     ids = materialize(ids.distinct())
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else shuffled(ids), "doc_id", "left_semi")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``a, b, ok`` of distinct pairs, by the exact similarity of their full sets."""
     texts = texts_of(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))), docs)
-    both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"))
+    both = (pairs.join(shuffled(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))), "a")
+            .join(shuffled(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))), "b"))
     checked = both.select("a", "b", "text_a", "text_b").mapInArrow(verify_batches(size, percent), "a long, b long, ok boolean")
     return materialize(checked.groupBy("a", "b").agg(F.bool_or("ok").alias("ok")))
 
@@ -275,8 +275,8 @@ def bucket_tasks(reps: DataFrame) -> DataFrame:
                .filter("lo < hi").groupBy("members", "lo", "hi", "x")
                .agg(F.min_by("key", F.struct("band", "key")).alias("key"), F.max("shingles").alias("shingles"))
                .select("key", F.ceil(F.greatest(F.col("members") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
-    members = (banded.select("rep", "band", "key").join(buckets, "key")
-               .join(reps.select("rep", "n_shingles", "sig"), "rep"))
+    members = (banded.select("rep", "band", "key").join(shuffled(buckets), "key")
+               .join(shuffled(reps.select("rep", "n_shingles", "sig")), "rep"))
     block = F.pmod(F.xxhash64("rep", F.lit(11)), F.col("blocks")).cast("int")
     return (members.withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
             .select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("task"), "band",
@@ -301,12 +301,12 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
     links = checked.filter("ok").select("a", "b")
     labels = components(links)
     refuted = emitted.join(checked.filter("not ok"), ["a", "b"]).select("task").distinct()
-    members = (tasks.join(refuted, "task", "left_semi").join(labels, F.col("a") == labels.node, "left")
+    members = (tasks.join(shuffled(refuted), "task", "left_semi").join(shuffled(labels), F.col("a") == labels.node, "left")
                .withColumn("component", F.coalesce("component", "a")))
     needed = stored(dealt(members.select("task", "band", "a", "n", "sig", "side", "component"))
                     .mapInArrow(needed_batches(percent), MEMBERS), "undecided")
     texts = texts_of(needed.select(F.col("a").alias("doc_id")), docs).select(F.col("doc_id").alias("a"), "text")
-    late = materialize(dealt(needed.join(texts, "a")).mapInArrow(link_batches(size, percent), PAIRS).select("a", "b").distinct())
+    late = materialize(dealt(needed.join(shuffled(texts), "a")).mapInArrow(link_batches(size, percent), PAIRS).select("a", "b").distinct())
     return labels if late.isEmpty() else components(links.unionByName(late))
 
 
@@ -329,8 +329,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, text: str
     labels = linked(reps, docs, size, percent)
     ids = reps.select("class", "rep")
     if labels is not None:
-        ids = ids.join(labels, ids.rep == labels.node, "left").select("class", F.coalesce("component", "rep").alias("rep"))
-    return (signed.select("doc_id", "n_shingles", "class").join(ids, "class", "left")
+        ids = ids.join(shuffled(labels), ids.rep == labels.node, "left").select("class", F.coalesce("component", "rep").alias("rep"))
+    return (signed.select("doc_id", "n_shingles", "class").join(shuffled(ids), "class", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("component_id"))
             .withColumn("kept", F.expr("doc_id <=> component_id")))
 
@@ -343,7 +343,7 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     keyed = numbered(docs, "near-rows")
     ids = keyed.filter("row.doc_id is not null").select("key", F.col("row.doc_id").alias("id"), "row.text")
     found = (near_duplicates(ids.select(F.col("key").alias("doc_id"), "text"), size, percent)
-             .select(F.col("doc_id").alias("key"), F.col("component_id").alias("component")).join(ids.select("key", "id"), "key"))
+             .select(F.col("doc_id").alias("key"), F.col("component_id").alias("component")).join(shuffled(ids.select("key", "id")), "key"))
     groups = materialize(found)
     stays = groups.groupBy("component").agg(F.min(F.struct("id", "key")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    return without_keys(keyed, groups.join(stays, "component").filter("key != first.key"))
+    return without_keys(keyed, groups.join(shuffled(stays), "component").filter("key != first.key"))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from strata.llm import kernels
 from strata.session import materialize, work_dir
 
-__all__ = ["materialize", "read", "stored", "numbered", "without_keys", "word_count", "crc_remainder"]
+__all__ = ["materialize", "read", "stored", "numbered", "shuffled", "without_keys", "word_count", "crc_remainder"]
 
 BROADCAST_KEYS = 1_000_000   # row keys of 8 or 16 bytes
 
@@ -28,6 +28,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` to be joined by sorting, never broadcast: the size that Spark expects of rows out of compressed
+    files, of pruned columns and of exploded arrays can be a fraction of theirs, and a broadcast fills the driver."""
+    return df.hint("merge")
+
+
 def numbered(docs: DataFrame, name: str) -> DataFrame:
     """``key`` (a number of its own for every row) and ``row`` (all columns, whatever their names), written once,
     so that null and repeated ids are rows like any other and every reader sees the same numbers."""
@@ -37,7 +43,7 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
 def without_keys(keyed: DataFrame, gone: DataFrame) -> DataFrame:
     """The rows of documents as ``key`` and ``row`` without the keys ``gone``, which are broadcast up to ``BROADCAST_KEYS``."""
     gone = materialize(gone.select("key"))
-    return keyed.join(F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone, "key", "left_anti").select("row.*")
+    return keyed.join(F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else shuffled(gone), "key", "left_anti").select("row.*")
 
 
 def crc_remainder(doc_id: str | Column, modulus: int) -> Column:

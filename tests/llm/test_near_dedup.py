@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import near_dedup, queries
 from strata.llm.components import components
-from strata.llm.tables import read
+from strata.llm.tables import read, shuffled, stored
 
 SF = "/root/testdata/sf0.001"
 
@@ -152,3 +152,15 @@ def test_dropping_takes_rows_not_ids(docs_of):
     rows = [(5, a), (7, a), (5, b), (2, b), (9, c), (9, c), (None, c), (3, None), (3, None)]
     kept = near_dedup.drop_near_duplicates(docs_of(rows, {"key": F.lit(1), "row": F.lit(2), "component": F.lit(3)}))
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(5, a), (2, b), (9, c), (None, c), (3, None), (3, None)], key=str)
+
+
+def test_joins_that_grow_with_the_corpus_are_not_broadcast(spark):
+    """Spark expects 25 band rows of a class to be as small as its row in the file; broadcast, they filled the driver."""
+    row = "array_repeat(id, 25) AS bands, unhex(repeat('ab', 125)) AS sig, unhex(md5(string(id))) AS class"
+    reps = stored(spark.range(400).selectExpr("id AS rep", "50L AS n_shingles", row), "join-test")
+    docs = stored(spark.range(400).selectExpr("id AS doc_id", "repeat('same words ', 50) AS text"), "join-test")
+    pairs = spark.range(200).selectExpr("id AS a", "id + 1 AS b")
+    for frame in (near_dedup.bucket_tasks(reps), pairs.join(shuffled(docs.withColumnRenamed("doc_id", "a")), "a")):
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
