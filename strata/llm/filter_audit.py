@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from strata.llm import kernels
-from strata.llm.tables import stored
+from strata.llm.tables import BLOCKS_PER_FILE, stored
 
 SHARD_BYTES = 32 << 20   # text under one dictionary
 BLOCK_BYTES = 2 << 20    # text of a block of rows
@@ -170,7 +170,7 @@ def term_matrix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", par
     """
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"),
                         F.coalesce(F.col(text), F.lit("")).alias("text"))
-    blocks = stored(named.withColumn("digest", F.unhex(F.sha2("text", 256))).mapInArrow(shard_batches, BLOCK_SCHEMA), "term-blocks")
+    blocks = stored(named.withColumn("digest", F.unhex(F.sha2("text", 256))).mapInArrow(shard_batches, BLOCK_SCHEMA), "term-blocks", BLOCKS_PER_FILE)
     words = blocks.select("shard", F.posexplode("words").alias("local", "word"))
     # One exchange: the rows of a word (one a shard) meet, and sorting numbers them.
     entries = stored(words.repartition("word").sortWithinPartitions("word").mapInArrow(numbered_words, ENTRY_SCHEMA), "term-entries")

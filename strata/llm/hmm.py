@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strata.llm import kernels
-from strata.llm.tables import crc_remainder, stored
+from strata.llm.tables import BLOCKS_PER_FILE, crc_remainder, stored
 
 STATES = 8
 FREQUENT = 8192           # a word with one in so many of the tokens is its own class: at most so many words
@@ -359,7 +359,7 @@ class Trained:
 
 def train(docs: DataFrame) -> Trained:
     """``docs`` has ``doc_id, text, train``; only rows marked ``train`` are learned from."""
-    blocks = stored(docs.mapInArrow(token_batches, TOKEN_SCHEMA), "tokens")
+    blocks = stored(docs.mapInArrow(token_batches, TOKEN_SCHEMA), "tokens", BLOCKS_PER_FILE)
     words = blocks.select("block", "words", "endings", "counts").mapInArrow(
         word_batches, "block long, place int, word long, ending int, c long")
     by_word = Window.partitionBy("word")

@@ -13,6 +13,7 @@ from strata.session import materialize, work_dir
 
 __all__ = ["materialize", "read", "stored", "numbered", "shuffled", "without_keys", "word_count", "crc_remainder"]
 
+BLOCKS_PER_FILE = 8           # rows that hold some megabytes each
 BROADCAST_KEYS = 1_000_000   # row keys of 8 or 16 bytes
 
 
@@ -20,11 +21,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back:
-    lineage is cut, columns can be pruned, and a lost executor loses nothing."""
+    lineage is cut, columns can be pruned, and a lost executor loses nothing.
+
+    Readers take thousands of rows of a file into memory at once; rows of megabytes need ``rows_per_file``.
+    """
     path = work_dir(df.sparkSession, "llm", name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -120,3 +120,14 @@ def test_matrix_is_encoded_globally(spark):
         want = sorted(sorted(re.findall(r"[^\x20\x09-\x0D]+", t).count(w) for w in set(re.findall(r"[^\x20\x09-\x0D]+", t))) for t in ts)
         assert sorted(sorted(n for _, n in row) for row in cells[i]) == want
     assert cells[1] == cells[2] == cells[None][:1]      # the same words, the same numbers, in whatever shard
+
+
+def test_few_blocks_to_a_file(spark, monkeypatch):
+    """A reader takes all rows of a small file into memory at once, and a block has megabytes."""
+    tables, stored = {}, filter_audit.stored
+    monkeypatch.setattr(filter_audit, "stored", lambda df, name, *more: tables.setdefault(name, stored(df, name, *more)))
+    docs = spark.range(36, numPartitions=1).selectExpr("id AS doc_id", "'en' AS lang", "repeat(concat(id, ' b '), 300000) AS text")
+    flags = filter_audit.failed_filters(docs).collect()
+    assert {r.n_words for r in flags} == {600000} and len(flags) == 36
+    sizes = [spark.read.parquet(f).count() for f in tables["term-blocks"].inputFiles()]
+    assert sum(sizes) > 8 and max(sizes) <= 8
