@@ -35,6 +35,7 @@ FREQUENT = 8192           # a word with one in so many of the tokens is its own
 ENDINGS = 2048            # classes of the other words
 BLOCK_BYTES = 2 << 20     # text per block
 CHUNK = 640               # tokens of a long text that are worked on in one piece, side by side with its others
+SIEVE = 1 << 18           # bits of word hashes that tell most rare words from the frequent ones
 GATHER = 1 << 21          # training tokens that a task brings together
 PART_TOKENS = 1 << 19     # tokens of chunks for which a task holds the states of a recursion at once
 SUM_GROUPS = 256          # groups of tasks whose counts are summed first
@@ -137,8 +138,14 @@ class Model:
         """Class of each word: its own, that of its ending, or the last for words without a count."""
         out = len(self.frequent) + endings.astype(np.int64)
         if len(self.frequent):
-            at = np.minimum(np.searchsorted(self.frequent, words), len(self.frequent) - 1)
-            out = np.where(self.frequent[at] == words, at, out)
+            # A word's low bits pick out the few that may be frequent; only these are looked up.
+            low = np.uint64(SIEVE - 1)
+            sieve = np.zeros(SIEVE, dtype=bool)
+            sieve[self.frequent & low] = True
+            may = np.flatnonzero(sieve[words & low])
+            at = np.minimum(np.searchsorted(self.frequent, words[may]), len(self.frequent) - 1)
+            own = self.frequent[at] == words[may]
+            out[may[own]] = at[own]
         return np.where(known, out, len(self.mass) - 1)
 
     def learn(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
@@ -181,6 +188,14 @@ def grid(begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return order, begin[order], np.searchsorted(-n, -np.arange(1, (n[0] if len(n) else 0) + 1), side="right")
 
 
+def state_sums(x: np.ndarray) -> np.ndarray:
+    """Sum over the states of each row, pair by pair: for eight states the sum over axis 1 in its own order, but column by column."""
+    parts = [x[:, z] for z in range(x.shape[1])]
+    while len(parts) > 1:
+        parts = [a + b for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) // 2 * 2:]
+    return parts[0]
+
+
 def last_states(factor, move, seq, begin, length, enter) -> tuple[np.ndarray, np.ndarray]:
     """State distribution after each chunk, entered with the distribution ``enter``, and log10 of its likelihood."""
     order, start, alive = grid(begin, length)
@@ -188,10 +203,10 @@ def last_states(factor, move, seq, begin, length, enter) -> tuple[np.ndarray, np
     for t, k in enumerate(alive):
         if k < before:
             out[order[k:before]] = x[k:before]
-        e = factor[seq[start[:k] + t]]
+        e = factor.take(seq[start[:k] + t], axis=0)
         x = e * x[:k] if t == 0 else (x[:k] @ move) * e
-        c = x.sum(axis=1)
-        x /= c[:, None]
+        c = state_sums(x)
+        x /= np.repeat(c, x.shape[1]).reshape(x.shape)
         total[order[:k]] += np.log10(c)
         before = k
     out[order[:before]] = x[:before]
@@ -207,7 +222,7 @@ def transfers(factor, move, seq, begin, length) -> np.ndarray:
     for t, k in enumerate(alive):
         if k < before:
             out[order[k:before]] = x[k:before]
-        x = (x[:k].reshape(-1, states) @ move).reshape(k, states, states) * factor[seq[start[:k] + t]][:, None, :]
+        x = (x[:k].reshape(-1, states) @ move).reshape(k, states, states) * factor.take(seq[start[:k] + t], axis=0)[:, None, :]
         x /= x.sum(axis=(1, 2), keepdims=True)
         before = k
     out[order[:before]] = x[:before]
@@ -266,11 +281,12 @@ def expected_and_score(model: Model, seq: np.ndarray, n: np.ndarray, width: int
         start, alive = grid(chunks.begin[mine], chunks.length[mine])[1:]      # already longest first
         states, scales, factors = [], [], []
         for t, k in enumerate(alive):
-            e = factor[seq[start[:k] + t]]
+            e = factor.take(seq[start[:k] + t], axis=0)
             x = e * enter[mine[:k]] if t == 0 else (states[-1][:k] @ move) * e
-            c = x.sum(axis=1, keepdims=True)
-            x /= c
-            states.append(x), scales.append(c), factors.append(e)
+            c = state_sums(x)
+            scale = np.repeat(c, STATES).reshape(x.shape)
+            x /= scale
+            states.append(x), scales.append(scale), factors.append(e)
             score += float(np.log10(c).sum(dtype=np.float64))
         after, gammas, wheres = leave[mine[:alive[-1]]], [], []
         for t in range(len(alive) - 1, -1, -1):
@@ -280,7 +296,7 @@ def expected_and_score(model: Model, seq: np.ndarray, n: np.ndarray, width: int
             gammas.append(states[t] * after), wheres.append(seq[start[:k] + t])
             ahead = factors.pop()
             ahead *= after
-            ahead /= scales[t]
+            ahead /= scales.pop()
             if t:
                 moves += move * (states[t - 1][:k].T @ ahead)
                 after = ahead @ move.T

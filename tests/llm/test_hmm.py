@@ -140,3 +140,18 @@ def test_summed_counts_equal_those_of_one_task(spark, docs_of):
     for z in want:
         assert got_[z].first == pytest.approx(want[z].first, abs=1e-2) and got_[z].score == pytest.approx(want[z].score, abs=1e-1)
         assert np.allclose(got_[z].emit, want[z].emit, atol=1e-2) and np.allclose(got_[z].move, want[z].move, atol=1e-2)
+
+
+def test_sums_and_classes_are_those_of_the_plain_forms():
+    rng = np.random.default_rng(4)
+    for kind in (np.float32, np.float64):
+        x = rng.random((500, hmm.STATES)).astype(kind)
+        assert np.array_equal(hmm.state_sums(x), x.sum(axis=1))
+    frequent = np.unique(rng.integers(0, 2**63, 300).astype(np.uint64))
+    model = hmm.Model(np.full(len(frequent) + hmm.ENDINGS + 1, 1e-4), frequent)
+    near = frequent + np.uint64(hmm.SIEVE)      # rare words with the low bits of frequent ones
+    words = rng.permutation(np.concatenate([frequent, near, rng.integers(0, 2**63, 5000).astype(np.uint64)]))
+    endings, known = rng.integers(0, hmm.ENDINGS, len(words)).astype(np.uint16), rng.random(len(words)) < 0.8
+    place = {int(w): i for i, w in enumerate(frequent)}
+    want = [place.get(int(w), len(frequent) + int(e)) if k else len(model.mass) - 1 for w, e, k in zip(words, endings, known)]
+    assert model.classes(words, endings, known).tolist() == want

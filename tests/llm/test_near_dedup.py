@@ -156,8 +156,8 @@ def test_dropping_takes_rows_not_ids(docs_of):
 
 def test_joins_that_grow_with_the_corpus_are_not_broadcast(spark):
     """Spark expects 25 band rows of a class to be as small as its row in the file; broadcast, they filled the driver."""
-    row = "array_repeat(id, 25) AS bands, unhex(repeat('ab', 125)) AS sig, unhex(md5(string(id))) AS class"
-    reps = stored(spark.range(400).selectExpr("id AS rep", "50L AS n_shingles", row), "join-test")
+    reps = stored(spark.range(400).selectExpr("id AS rep", "50L AS n_shingles", "array_repeat(id, 25) AS bands",
+                                              "unhex(repeat('ab', 125)) AS sig"), "join-test")
     docs = stored(spark.range(400).selectExpr("id AS doc_id", "repeat('same words ', 50) AS text"), "join-test")
     pairs = spark.range(200).selectExpr("id AS a", "id + 1 AS b")
     for frame in (near_dedup.bucket_tasks(reps), pairs.join(shuffled(docs.withColumnRenamed("doc_id", "a")), "a")):
