@@ -19,14 +19,15 @@ from strata.llm.tables import materialize, stored, without_keys
 
 WINDOW = 10
 BROADCAST_WINDOWS = 100_000   # most windows that are sent to every task at once, some 50 MB
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BETWEEN = "".join(chr(c) for c in range(128) if not chr(c).isalnum())   # ASCII that is in no word
 NO_WORD = "|"                 # stands for the document itself; no word has this character
 
 
 def words_of(text: Column) -> Column:
     """Runs of digits, letters and non-ASCII characters, A-Z lower-cased; none for null."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+    spaced = F.translate(F.coalesce(text, F.lit("")), UPPER + BETWEEN, LOWER + " " * len(BETWEEN))
+    return F.array_remove(F.split(spaced, " "), "")   # a regular expression for the words takes several times as long
 
 
 def item_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:

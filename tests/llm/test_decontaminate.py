@@ -77,3 +77,11 @@ def test_dropping_takes_rows_not_ids(spark, docs_of):
 def test_plan_has_no_python(spark):
     plan = queries.op8_decontaminate(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_words_without_a_regular_expression(spark):
+    """Looking for words by a regular expression took most of the time; every ASCII character and some others."""
+    texts = ["".join(f"a{chr(c)}Z{chr(c)}" for c in range(128)), "", None, " ", "\0", "x\0", "É|é  Ü\u00a0ß 𝒳Y\U0001F600z \u2028K\u212a\r\n\tİ"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").select(decontaminate.words_of(F.col("text")).alias("w"))
+    assert [r.w for r in frame.collect()] == [words(t) for t in texts]
+    assert "regexp" not in frame._jdf.queryExecution().toString()
