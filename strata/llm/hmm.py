@@ -49,20 +49,30 @@ TOKEN_SCHEMA = ("block long, doc_id array<long>, train array<boolean>, n array<i
 
 
 def fold(text: pa.Array):
-    """Word hashes, classes by ending, rows and row count of each slice of texts; every row closes with ``END``."""
+    """Rows, tokens of each row, word hashes, classes by ending and the tokens' places among the words, for each slice of texts.
+
+    Every row closes with ``END``.  Only the first token of a word is looked at for its ending.
+    """
     for at, data, offsets in kernels.slices(text, BLOCK_BYTES):
         low = kernels.LOWER[data]
         starts, ends, row = kernels.words(low, offsets)
-        h = kernels.span_hashes(low, starts, ends)
-        tail = kernels.span_hashes(low, np.maximum(starts, ends - 3), ends) if len(h) else h
+        sums = kernels.prefix_sums(low)
         rows = len(offsets) - 1
-        n = np.bincount(row, minlength=rows)
-        token_end = np.cumsum(n + 1)
-        tokens, ending = np.full(len(h) + rows, END), np.zeros(len(h) + rows, dtype=np.uint16)
-        place = np.ones(len(tokens), dtype=bool)
-        place[token_end - 1] = False
-        tokens[place], ending[place] = h, (tail % np.uint64(ENDINGS)).astype(np.uint16)
-        yield at, rows, n + 1, tokens, ending
+        n = np.bincount(row, minlength=rows) + 1
+        tokens = np.full(len(starts) + rows, END)
+        is_word = np.ones(len(tokens), dtype=bool)
+        is_word[np.cumsum(n) - 1] = False
+        tokens[is_word] = kernels.span_hashes(low, starts, ends, sums=sums)
+        coded = pa.array(tokens).dictionary_encode()
+        words, places = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        first = np.empty(len(words), dtype=np.int64)
+        first[places[::-1]] = np.arange(len(places) - 1, -1, -1)     # the last to be set stays
+        spelt = np.flatnonzero(is_word[first])
+        span = (np.cumsum(is_word) - 1)[first[spelt]]
+        ending = np.zeros(len(words), dtype=np.uint16)
+        tail = kernels.span_hashes(low, np.maximum(starts[span], ends[span] - 3), ends[span], sums=sums)
+        ending[spelt] = (tail % np.uint64(ENDINGS)).astype(np.uint16)
+        yield at, rows, n, words, ending, places
 
 
 def token_batches(batches):
@@ -70,21 +80,19 @@ def token_batches(batches):
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         ids, train = batch.column("doc_id"), batch.column("train").to_numpy(zero_copy_only=False)
-        for at, rows, n, tokens, ending in fold(batch.column("text")):
-            words, first, places = np.unique(tokens, return_index=True, return_inverse=True)
+        for at, rows, n, words, ending, places in fold(batch.column("text")):
             mine = train[at:at + rows]
             counts = np.bincount(places, weights=np.repeat(mine, n), minlength=len(words)).astype(np.int32)
-            # Frequent words first, so that the high bytes of the places are mostly zero.
-            rank = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable")
+            # Frequent words first, so that the high bytes of the places are mostly zero; the rest by hash, which packs better.
+            rank = np.lexsort((words, -np.bincount(places, minlength=len(words))))
             place = np.empty(len(words), dtype=np.int64)
             place[rank] = np.arange(len(words))
-            words, first, counts = words[rank], first[rank], counts[rank]
             number += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([ids.slice(at, rows).to_pylist()], pa.list_(pa.int64())),
                  pa.array([mine.tolist()], pa.list_(pa.bool_())), pa.array([n.tolist()], pa.list_(pa.int32())),
                  pa.array([pack(place[places])], pa.binary()),
-                 *[pa.array([x.tobytes()], pa.binary()) for x in (words, ending[first], counts)]],
+                 *[pa.array([x[rank].tobytes()], pa.binary()) for x in (words, ending, counts)]],
                 names=["block", "doc_id", "train", "n", "ids", "words", "endings", "counts"])
 
 
@@ -190,26 +198,29 @@ def grid(begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def state_sums(x: np.ndarray) -> np.ndarray:
     """Sum over the states of each row, pair by pair: for eight states the sum over axis 1 in its own order, but column by column."""
-    parts = [x[:, z] for z in range(x.shape[1])]
-    while len(parts) > 1:
-        parts = [a + b for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) // 2 * 2:]
-    return parts[0]
+    x = x.T
+    while len(x) > 1:
+        x = np.concatenate([x[:-1:2] + x[1::2], x[-1:]]) if len(x) % 2 else x[::2] + x[1::2]
+    return x[0]
+
+
+def by_state(factor, classes) -> np.ndarray:
+    """The classes' factors, one row for each state: the recursions run along long rows, not across short ones."""
+    return np.ascontiguousarray(factor.take(classes, axis=0).T)
 
 
 def last_states(factor, move, seq, begin, length, enter) -> tuple[np.ndarray, np.ndarray]:
     """State distribution after each chunk, entered with the distribution ``enter``, and log10 of its likelihood."""
     order, start, alive = grid(begin, length)
-    out, total, x, before = np.empty_like(enter), np.zeros(len(begin)), enter[order], 0
+    x, logs, back = np.ascontiguousarray(enter[order].T), np.zeros(len(begin)), np.ascontiguousarray(move.T)
     for t, k in enumerate(alive):
-        if k < before:
-            out[order[k:before]] = x[k:before]
-        e = factor.take(seq[start[:k] + t], axis=0)
-        x = e * x[:k] if t == 0 else (x[:k] @ move) * e
-        c = state_sums(x)
-        x /= np.repeat(c, x.shape[1]).reshape(x.shape)
-        total[order[:k]] += np.log10(c)
-        before = k
-    out[order[:before]] = x[:before]
+        y = back @ x[:, :k] if t else x[:, :k].copy()
+        y *= by_state(factor, seq[start[:k] + t])
+        c = state_sums(y.T)
+        np.divide(y, c, out=x[:, :k])       # what lies beyond has ended
+        logs[:k] += np.log10(c)
+    out, total = np.empty_like(enter), np.empty(len(begin))
+    out[order], total[order] = x.T, logs
     return out, total
 
 
@@ -217,15 +228,14 @@ def transfers(factor, move, seq, begin, length) -> np.ndarray:
     """Product of the transition and emission matrices of each chunk, up to a scale."""
     order, start, alive = grid(begin, length)
     states = len(move)
-    out = np.empty((len(begin), states, states), dtype=factor.dtype)
-    x, before = np.broadcast_to(np.eye(states, dtype=factor.dtype), out.shape), len(begin)
+    x, back = np.empty((states, states, len(begin)), dtype=factor.dtype), np.ascontiguousarray(move.T)
+    x[:] = np.eye(states, dtype=factor.dtype)[:, :, None]       # from state, to state, chunk
     for t, k in enumerate(alive):
-        if k < before:
-            out[order[k:before]] = x[k:before]
-        x = (x[:k].reshape(-1, states) @ move).reshape(k, states, states) * factor.take(seq[start[:k] + t], axis=0)[:, None, :]
-        x /= x.sum(axis=(1, 2), keepdims=True)
-        before = k
-    out[order[:before]] = x[:before]
+        y = back @ x[:, :, :k]
+        y *= by_state(factor, seq[start[:k] + t])
+        np.divide(y, state_sums(y.sum(axis=0).T), out=x[:, :, :k])
+    out = np.empty((len(begin), states, states), dtype=factor.dtype)
+    out[order] = x.transpose(2, 0, 1)
     return out
 
 
@@ -265,7 +275,7 @@ def expected(model: Model, seq: np.ndarray, n: np.ndarray):
 
 def expected_and_score(model: Model, seq: np.ndarray, n: np.ndarray, width: int | None = None, size: int | None = None, kind=np.float64):
     """Expected counts, and log10 of the factors' likelihood of all sequences, computed in numbers of ``kind``."""
-    first, moves, emit, score = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((len(model.mass), STATES)), 0.0
+    first, moves, emit, score = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, len(model.mass))), 0.0
     factor, move, chunks = np.ascontiguousarray(model.factor.T.astype(kind)), model.move.astype(kind), Chunks(n, size or CHUNK)
     later = np.flatnonzero(chunks.nth > 0)
     matrices = np.zeros((len(chunks.begin), STATES, STATES), dtype=kind)
@@ -277,36 +287,38 @@ def expected_and_score(model: Model, seq: np.ndarray, n: np.ndarray, width: int
         leave[group - 1] = x / (x * before[group]).sum(axis=1, keepdims=True)
     order = np.argsort(-chunks.length, kind="stable")       # chunks of like length together
     part_of = (np.cumsum(chunks.length[order]) - chunks.length[order]) // (width or PART_TOKENS)
+    back = np.ascontiguousarray(move.T)
     for mine in np.split(order, np.flatnonzero(np.diff(part_of)) + 1) if len(order) else []:
         start, alive = grid(chunks.begin[mine], chunks.length[mine])[1:]      # already longest first
-        states, scales, factors = [], [], []
-        for t, k in enumerate(alive):
-            e = factor.take(seq[start[:k] + t], axis=0)
-            x = e * enter[mine[:k]] if t == 0 else (states[-1][:k] @ move) * e
-            c = state_sums(x)
-            scale = np.repeat(c, STATES).reshape(x.shape)
-            x /= scale
-            states.append(x), scales.append(scale), factors.append(e)
-            score += float(np.log10(c).sum(dtype=np.float64))
-        after, gammas, wheres = leave[mine[:alive[-1]]], [], []
+        ends = np.cumsum(alive)
+        steps = [slice(e - k, e) for e, k in zip(ends, alive)]                # the tokens at each position of the chunks
+        where, scale = np.empty(ends[-1], dtype=np.int64), np.empty(ends[-1], dtype=kind)
+        states, factors = np.empty((STATES, ends[-1]), dtype=kind), []
+        for t, (now, k) in enumerate(zip(steps, alive)):
+            where[now] = seq[start[:k] + t]
+            e = by_state(factor, where[now])
+            x = back @ states[:, steps[t - 1]][:, :k] if t else enter[mine].T.copy()
+            x *= e
+            scale[now] = state_sums(x.T)
+            np.divide(x, scale[now], out=states[:, now])
+            factors.append(e)
+        score += float(np.log10(scale).sum(dtype=np.float64))
+        after = np.ascontiguousarray(leave[mine].T)         # of chunks that end earlier it still is what follows them
         for t in range(len(alive) - 1, -1, -1):
-            k = alive[t]
-            if len(after) < k:
-                after = np.concatenate([after, leave[mine[len(after):k]]])
-            gammas.append(states[t] * after), wheres.append(seq[start[:k] + t])
+            now, k = steps[t], alive[t]
             ahead = factors.pop()
-            ahead *= after
-            ahead /= scales.pop()
+            ahead *= after[:, :k]
+            ahead /= scale[now]
+            states[:, now] *= after[:, :k]                  # from here on the chances of the states given the whole text
             if t:
-                moves += move * (states[t - 1][:k].T @ ahead)
-                after = ahead @ move.T
+                moves += move * (states[:, steps[t - 1]][:, :k] @ ahead.T)
+                np.matmul(move, ahead, out=after[:, :k])
         inner = chunks.nth[mine] > 0
-        moves += move * (before[mine[inner]].T @ ahead[inner])
-        first += gammas[-1][~inner].sum(axis=0)
-        gamma, where = np.concatenate(gammas), np.concatenate(wheres)
+        moves += move * (before[mine[inner]].T @ ahead[:, inner].T)
+        first += np.ascontiguousarray(states[:, steps[0]][:, ~inner].T).sum(axis=0)
         for z in range(STATES):
-            emit[:, z] += np.bincount(where, weights=gamma[:, z], minlength=len(emit))
-    return first, moves, emit.T, score
+            emit[z] += np.bincount(where, weights=states[z], minlength=len(model.mass))
+    return first, moves, emit, score
 
 
 def training_classes(model: Model, r: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -373,16 +385,22 @@ class Trained:
         self.blocks, self.counts, self.tokens, self.distinct, self.model = blocks, counts, tokens, distinct, model
 
 
-def train(docs: DataFrame) -> Trained:
-    """``docs`` has ``doc_id, text, train``; only rows marked ``train`` are learned from."""
-    blocks = stored(docs.mapInArrow(token_batches, TOKEN_SCHEMA), "tokens", BLOCKS_PER_FILE)
+def word_counts(blocks: DataFrame) -> DataFrame:
+    """One row per block and different word: its count in all blocks, and whether the block is its first.
+
+    A word in every block is still one row per block.  Rows are sorted by word alone, once.
+    """
     words = blocks.select("block", "words", "endings", "counts").mapInArrow(
         word_batches, "block long, place int, word long, ending int, c long")
     by_word = Window.partitionBy("word")
-    # One row per block and different word; a word in every block is still one row per block.
-    counts = stored(words.withColumn("total", F.sum("c").over(by_word))
-                    .withColumn("first", F.row_number().over(by_word.orderBy("block", "place")) == 1)
-                    .select("block", "place", "word", "ending", "total", "first"), "counts")
+    return words.select("block", "place", "word", "ending", F.sum("c").over(by_word).alias("total"),
+                        (F.min("block").over(by_word) == F.col("block")).alias("first"))
+
+
+def train(docs: DataFrame) -> Trained:
+    """``docs`` has ``doc_id, text, train``; only rows marked ``train`` are learned from."""
+    blocks = stored(docs.mapInArrow(token_batches, TOKEN_SCHEMA), "tokens", BLOCKS_PER_FILE)
+    counts = stored(word_counts(blocks), "counts")
     vocabulary = counts.filter("first and total > 0")
     row = vocabulary.agg(F.sum("total").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = row.n or 0, row.v

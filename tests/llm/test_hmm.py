@@ -4,10 +4,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import hmm, queries
+from strata.llm import hmm, kernels, queries
 from strata.llm.tables import read
 
 SF = "/root/testdata/sf0.001"
@@ -155,3 +156,51 @@ def test_sums_and_classes_are_those_of_the_plain_forms():
     place = {int(w): i for i, w in enumerate(frequent)}
     want = [place.get(int(w), len(frequent) + int(e)) if k else len(model.mass) - 1 for w, e, k in zip(words, endings, known)]
     assert model.classes(words, endings, known).tolist() == want
+
+
+def test_a_buffer_is_summed_once_and_words_keep_their_hashes_and_endings(monkeypatch):
+    texts = pa.array(["The cat the END sat", "", None, "cat a of cat", "  Über\tsat  "])
+    sums, calls = kernels.prefix_sums, []
+    monkeypatch.setattr(kernels, "prefix_sums", lambda *a: calls.append(1) or sums(*a))
+    (at, rows, n, words, ending, places), = hmm.fold(texts)
+    assert len(calls) == 1
+    monkeypatch.undo()
+
+    def hashed(word):
+        data = np.frombuffer(word.encode(), dtype=np.uint8)
+        return int(kernels.span_hashes(data, np.array([0]), np.array([len(data)]))[0])
+    spelt = [[re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in (t.as_py() or "").split()] + [None] for t in texts]
+    assert (at, rows, n.tolist()) == (0, 5, [len(x) for x in spelt])
+    want = [(int(hmm.END), 0) if w is None else (hashed(w), hashed(w.encode()[-3:].decode()) % hmm.ENDINGS) for x in spelt for w in x]
+    assert [(int(words[p]), int(ending[p])) for p in places] == want and len(set(words.tolist())) == len(words) == 8
+
+
+def test_word_counts_take_one_window_and_sort_by_word_alone(spark, docs_of):
+    rows = [(k, f"common word{k % 5} only{k}") for k in range(40)]
+    blocks = docs_of(rows).selectExpr("doc_id", "text", "doc_id % 4 != 0 as train").repartition(6).mapInArrow(
+        hmm.token_batches, hmm.TOKEN_SCHEMA).localCheckpoint()
+    counts = hmm.word_counts(blocks)
+    plan = counts._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Window [") == 1 and "row_number" not in plan
+    found = counts.collect()
+    assert len(found) == len({(r.block, r.word) for r in found})
+    first = [r for r in found if r.first]
+    assert len(first) == len({r.word for r in found}) == 47
+    want = Counter(w for k, t in rows if k % 4 for w in tokens(t))
+    assert sorted(r.total for r in first if r.total) == sorted(want.values())
+    assert all(len({r.total for r in found if r.word == w.word}) == 1 for w in first)
+
+
+def test_recursions_run_along_states_and_equal_the_plain_ones():
+    model, rng = small(3)
+    factor, move, n = np.ascontiguousarray(model.factor.T), model.move, rng.integers(1, 30, 50)
+    seq, begin, enter = rng.integers(0, 6, n.sum()), np.cumsum(n) - n, rng.dirichlet(np.ones(hmm.STATES), 50)
+    out, total = hmm.last_states(factor, move, seq, begin, n, enter)
+    products = hmm.transfers(factor, move, seq, begin, n)
+    assert hmm.by_state(factor, seq).flags.c_contiguous and (hmm.by_state(factor, seq).T == factor[seq]).all()
+    for i, k in enumerate(n):
+        x, m, log = enter[i], np.eye(hmm.STATES), 0.0
+        for t, c in enumerate(seq[begin[i]:begin[i] + k]):
+            x, m = (x @ move if t else x) * factor[c], m @ move * factor[c]
+            log, x, m = log + math.log10(x.sum()), x / x.sum(), m / m.sum()
+        assert np.allclose(out[i], x) and total[i] == pytest.approx(log) and np.allclose(products[i], m)
